@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,9 +112,7 @@ def run_hour(spark: SparkSession, lake: Lake, date: str, hour: str,
              marts: Sequence[str] = tuple(MARTS)) -> dict[str, int | None]:
     """Archive, enrich and compute the marts of one hour; returns the rows of each step."""
     rows = {"bronze": archive_hour(spark, lake, date, hour), "silver": build_silver(spark, lake, date, hour)}
-    for name in marts:
-        rows[name] = build_mart(spark, lake, name, date, hour)
-    return rows
+    return {**rows, **_side_by_side(lambda name: build_mart(spark, lake, name, date, hour), marts)}
 
 
 def backfill(spark: SparkSession, lake: Lake, first: str, last: str, marts: Sequence[str] = tuple(MARTS),
@@ -121,23 +120,35 @@ def backfill(spark: SparkSession, lake: Lake, first: str, last: str, marts: Sequ
     """Recompute silver and gold for days ``first`` to ``last`` from bronze: one job per table, not one per hour.
 
     All days are joined to the snapshots as of ``last``. Partitions that the recomputed range no longer has are
-    removed.
+    removed. The marts depend only on silver and are submitted side by side.
     """
+    silver_root = lake.folder("silver.wide_table_events")
     bronze = read_range(spark, lake.folder("metadata.events"), schemas.BRONZE_EVENTS, first, last)
+    events = bronze.count()  # file footers only
     wide = enrich(bronze, **snapshots(spark, lake, last, verify))
-    rows = {"silver": _rewrite_range(spark, wide, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS, HOUR,
-                                     first, last, partition_values(bronze, *HOUR), sinks.EVENT_SORT)}
-    silver = read_range(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS, first, last)
-    for name in marts:
+    rows = {"silver": _rewrite_range(spark, wide, silver_root, schemas.SILVER_EVENTS, HOUR, first, last,
+                                     partition_values(bronze, *HOUR), events, sinks.EVENT_SORT)}
+    silver = read_range(spark, silver_root, schemas.SILVER_EVENTS, first, last)
+
+    def recompute(name: str) -> int:
         mart = MARTS[name]
         contract, _ = schemas.LAKE_TABLES[mart.table]
-        rows[name] = _rewrite_range(spark, mart.build(silver, grain=mart.grain), lake.folder(mart.table), contract,
-                                    mart.grain, first, last, partition_values(silver, *mart.grain))
-    return rows
+        return _rewrite_range(spark, mart.build(silver, grain=mart.grain), lake.folder(mart.table), contract,
+                              mart.grain, first, last, partition_values(silver, *mart.grain), events)
 
+    return {**rows, **_side_by_side(recompute, marts)}
 
-def _rewrite_range(spark, df, root, contract, grain, first, last, wanted, sort=()) -> int:
-    rows = sinks.overwrite_partitions(df, root, grain, sort)
+
+def _rewrite_range(spark, df, root, contract, grain, first, last, wanted, most_rows, sort=()) -> int:
+    rows = sinks.overwrite_partitions(df, root, grain, sort, most_rows)
     present = partition_values(read_range(spark, root, contract, first, last), *grain)
     sinks.drop_stale(spark, root, grain, present, wanted)
     return rows
+
+
+def _side_by_side(work: Callable[[str], int | None], names: Sequence[str]) -> dict[str, int | None]:
+    """Submit independent jobs from one thread each; the first error is raised after all have ended."""
+    if not names:
+        return {}
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        return dict(zip(names, pool.map(work, names)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# Ratios are rounded as decimals: Spark rounds the decimal form of a double half up (1.025 gives 1.03), DuckDB rounds
+# the binary value.
 _EVENTS = """
 ev AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, user_id,
@@ -79,8 +81,8 @@ def _funnel(grain: tuple[str, ...]) -> str:
   FROM ev GROUP BY {g}, platform)
 SELECT "date" AS log_date, platform AS device_type, step_1_visit, step_2_view_product, step_3_initiate_checkout,
   step_4_purchase_success,
-  round(CASE WHEN step_1_visit > 0 THEN step_4_purchase_success / step_1_visit ELSE 0.0 END, 4)
-    AS conversion_rate_overall, {g}
+  CASE WHEN step_1_visit > 0 THEN round(CAST(step_4_purchase_success / step_1_visit AS DECIMAL(18, 12)), 4)
+       ELSE 0 END::DOUBLE AS conversion_rate_overall, {g}
 FROM steps""")
 
 
@@ -145,8 +147,9 @@ days AS (
   FROM rows_ GROUP BY "date", platform)
 """ + (extra or """
 SELECT "date" AS log_date, total_sessions, total_users, bounce_sessions,
-       round(CASE WHEN total_sessions > 0 THEN bounce_sessions / total_sessions ELSE 0.0 END, 4) AS bounce_rate,
-       round(mean_events, 2) AS avg_events_per_session, platform AS operating_system, "date"
+       CASE WHEN total_sessions > 0 THEN round(CAST(bounce_sessions / total_sessions AS DECIMAL(18, 12)), 4)
+            ELSE 0 END::DOUBLE AS bounce_rate,
+       round(CAST(mean_events AS DECIMAL(18, 12)), 2)::DOUBLE AS avg_events_per_session, platform AS operating_system, "date"
 FROM days"""))
 
 

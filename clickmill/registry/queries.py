@@ -63,6 +63,11 @@ def _silver(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return enrich(testbed.bronze_events(spark, sf_dir), **testbed.dimensions(spark, sf_dir), **options)
 
 
+def _events(spark: SparkSession, sf_dir: str) -> int:
+    """Number of events, from the file footers: an upper bound for every table derived from them."""
+    return testbed.table(spark, sf_dir, "events").count()
+
+
 # --- projections, tiers, joins -------------------------------------------------------------------------------------
 
 @register("bronze_export_projection")
@@ -98,7 +103,7 @@ def silver_enriched_shuffled(spark, sf_dir):
 def silver_partition_slice(spark, sf_dir):
     """Write the whole silver table by hour, then read one day's folder."""
     root = shared_folder(spark, "silver")
-    sinks.overwrite_partitions(_silver(spark, sf_dir), root, HOUR, sinks.EVENT_SORT)
+    sinks.overwrite_partitions(_silver(spark, sf_dir), root, HOUR, sinks.EVENT_SORT, _events(spark, sf_dir))
     return read_partition(spark, root, schemas.SILVER_EVENTS, "2024-01-12")
 
 
@@ -356,7 +361,7 @@ def partition_replace_roundtrip(spark, sf_dir):
     """Write bronze by hour, replace one hour by itself and another by nothing, read all of it back."""
     root = shared_folder(spark, "bronze")
     bronze = testbed.bronze_events(spark, sf_dir)
-    sinks.overwrite_partitions(bronze, root, HOUR, sinks.EVENT_SORT)
+    sinks.overwrite_partitions(bronze, root, HOUR, sinks.EVENT_SORT, _events(spark, sf_dir))
     sinks.replace_partition(bronze.where("date = '2024-01-20' AND hour = '09'"), root,
                             {"date": "2024-01-20", "hour": "09"}, sinks.EVENT_SORT)
     sinks.replace_partition(bronze.where("false"), root, {"date": "2024-01-20", "hour": "10"})
@@ -368,8 +373,9 @@ def gold_overwrite_roundtrip(spark, sf_dir):
     """Write the funnel for all hours, then again for the later half: each hour must be there once."""
     root = shared_folder(spark, "funnel")
     funnel = funnel_conversion(_silver(spark, sf_dir, dims=()))
-    sinks.overwrite_partitions(funnel, root, HOUR)
-    sinks.overwrite_partitions(funnel.where("date >= '2024-01-15'"), root, HOUR)
+    most = _events(spark, sf_dir)
+    sinks.overwrite_partitions(funnel, root, HOUR, rows=most)
+    sinks.overwrite_partitions(funnel.where("date >= '2024-01-15'"), root, HOUR, rows=most)
     return read_table(spark, root, schemas.FUNNEL_CONVERSION)
 
 
@@ -378,7 +384,7 @@ def _hot_tier(spark: SparkSession, sf_dir: str) -> hourly.Lake:
     root = shared_folder(spark, "lake")
     lake = hourly.Lake(f"{root}/cold", f"{root}/hot")
     sinks.overwrite_partitions(testbed.hot_events(spark, sf_dir).withColumn("batch", F.lit(0)), lake.hot,
-                               (*HOUR, "batch"))
+                               (*HOUR, "batch"), rows=_events(spark, sf_dir))
     return lake
 
 
@@ -398,7 +404,8 @@ def catalog_sync_roundtrip(spark, sf_dir):
     """External table over a partitioned folder, read by name after its partitions are registered."""
     root = shared_folder(spark, "catalog")
     name = "clickmill_" + root.rsplit("-", 1)[1]
-    sinks.overwrite_partitions(testbed.bronze_events(spark, sf_dir), f"{root}/events", HOUR)
+    sinks.overwrite_partitions(testbed.bronze_events(spark, sf_dir), f"{root}/events", HOUR,
+                               rows=_events(spark, sf_dir))
     catalog.create_schema(spark, name, root)
     table = f"`{name}`.`events`"
     catalog.create_table(spark, table, schemas.BRONZE_EVENTS, f"{root}/events", HOUR)
@@ -423,7 +430,7 @@ def gold_backfill(spark, sf_dir):
     root = shared_folder(spark, "lake")
     lake = hourly.Lake(f"{root}/cold", f"{root}/hot")
     sinks.overwrite_partitions(testbed.bronze_events(spark, sf_dir), lake.folder("metadata.events"), HOUR,
-                               sinks.EVENT_SORT)
+                               sinks.EVENT_SORT, _events(spark, sf_dir))
     for name, frame in testbed.dimensions(spark, sf_dir).items():
         dims.write_snapshot(frame, lake.folder(f"metadata.{name}"), "2024-01-01", schemas.DIMENSIONS[name])
     hourly.backfill(spark, lake, "2024-01-01", "2024-12-31")

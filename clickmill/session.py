@@ -70,18 +70,26 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop path and the file system that owns it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove_paths(spark: SparkSession, paths: list[str]) -> int:
-    """Delete folders through the Hadoop file system that owns them; returns how many existed."""
-    jvm = spark.sparkContext._jvm
-    hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Delete folders; returns how many existed."""
     removed = 0
     for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        if target.getFileSystem(hadoop_conf).delete(target, True):
-            removed += 1
+        target, files = _file_system(spark, path)
+        removed += bool(files.delete(target, True))
     return removed
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    target, files = _file_system(spark, path)
+    return files.exists(target)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    target, files = _file_system(spark, path)
+    files.mkdirs(target)

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from clickmill.schemas import LAKE_TABLES
+from clickmill.session import make_folder
 
 _SYNC = {"ADD": "ADD", "DROP": "DROP", "FULL": "SYNC"}
 
@@ -48,7 +49,7 @@ def replace_table_partition(spark: SparkSession, source_view: str, table: str, s
 
 
 def register_lake(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
-    """Create the metadata, silver and gold schemas and their ten tables over an existing lake folder."""
+    """Create the metadata, silver and gold schemas and their ten tables over a lake folder."""
     names = []
     for full_name, (contract, partition_by) in LAKE_TABLES.items():
         schema, table = full_name.split(".")
@@ -56,6 +57,7 @@ def register_lake(spark: SparkSession, root: str, prefix: str = "") -> list[str]
         create_schema(spark, f"{prefix}{schema}", folder.rsplit("/", 1)[0])
         target = f"`{prefix}{schema}`.`{table}`"
         create_table(spark, target, contract, folder, partition_by)
+        make_folder(spark, folder)  # a repair of a table without a folder is an error
         sync_partitions(spark, target, "ADD")
         names.append(target)
     return names

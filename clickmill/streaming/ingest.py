@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmill.operators.messages import good_events, parse_messages, quarantined
+from clickmill.sources.sinks import overwrite_partitions
 
 HOT_PARTITIONS = ("date", "hour", "batch")
 
@@ -22,10 +23,12 @@ def start_ingest(messages: DataFrame, hot_root: str, quarantine_root: str, check
     there and ends.
     """
     def write(batch: DataFrame, number: int) -> None:
-        parsed = parse_messages(batch, id_pattern).withColumn("batch", F.lit(number)).persist()
+        parsed = parse_messages(batch, id_pattern).persist()
         try:
-            _write_batch(good_events(parsed).withColumn("batch", F.lit(number)), hot_root, HOT_PARTITIONS)
-            _write_batch(quarantined(parsed).withColumn("batch", F.lit(number)), quarantine_root, ("batch",))
+            rows = parsed.count()
+            stamp = F.lit(number).cast("bigint").alias("batch")
+            overwrite_partitions(good_events(parsed).select("*", stamp), hot_root, HOT_PARTITIONS, rows=rows)
+            overwrite_partitions(quarantined(parsed).select("*", stamp), quarantine_root, ("batch",), rows=rows)
         finally:
             parsed.unpersist()
 
@@ -34,11 +37,6 @@ def start_ingest(messages: DataFrame, hot_root: str, quarantine_root: str, check
     return writer.start()
 
 
-def _write_batch(df: DataFrame, root: str, partition_by: tuple[str, ...]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(root))
-
-
 def distinct_events(events: DataFrame, lateness: str) -> DataFrame:
     """Streaming duplicate removal with bounded state, for sinks that cannot deduplicate on reading.
 
