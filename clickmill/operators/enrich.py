@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.operators.lookup import BROADCAST_BYTES, attach
+from clickmill.operators.lookup import BROADCAST_BYTES, attach, measured_sizes
 from clickmill.schemas import SILVER_EVENTS
 
 USER_COLUMNS = ("username", "full_name", "email", "user_created_at")
@@ -15,24 +15,34 @@ PRODUCT_COLUMNS = ("product_name", "product_price", "category_name", "store_name
 
 
 def product_lookup(products: DataFrame, categories: DataFrame, stores: DataFrame,
-                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                   broadcast_bytes: int = BROADCAST_BYTES, sizes: tuple[int, int] | None = None) -> DataFrame:
     """Products with the names of their category and store, one row per product.
 
     Joining the three dimensions first leaves one join on the events instead of three. A product without a known
-    category or store keeps its own columns.
+    category or store keeps its own columns. ``sizes`` are the bytes of both name lookups if measured already.
     """
     base = products.select(
         F.col("product_id").cast("bigint").alias("product_id"), F.col("category_id").cast("bigint").alias("category_id"),
         F.col("store_id").cast("bigint").alias("store_id"), F.col("name").alias("product_name"),
         F.col("price").cast("double").alias("product_price"))
-    category = categories.select(F.col("category_id").cast("bigint").alias("category_id"),
-                                 F.col("name").alias("category_name"))
-    store = stores.select(F.col("store_id").cast("bigint").alias("store_id"), "store_name")
-    named = attach(base, category, "category_id", broadcast_bytes=broadcast_bytes, weigh=base.select("category_id"))
-    named = attach(named, store, "store_id", broadcast_bytes=broadcast_bytes, weigh=base.select("store_id"))
+    category, store = category_lookup(categories), store_lookup(stores)
+    category_bytes, store_bytes = sizes or measured_sizes([category, store])
+    named = attach(base, category, "category_id", broadcast_bytes=broadcast_bytes, weigh=base.select("category_id"),
+                   lookup_bytes=category_bytes)
+    named = attach(named, store, "store_id", broadcast_bytes=broadcast_bytes, weigh=base.select("store_id"),
+                   lookup_bytes=store_bytes)
     return named.select("product_id", *PRODUCT_COLUMNS)
 
 
+def category_lookup(categories: DataFrame) -> DataFrame:
+    return categories.select(F.col("category_id").cast("bigint").alias("category_id"),
+                             F.col("name").alias("category_name"))
+
+
+def store_lookup(stores: DataFrame) -> DataFrame:
+    return stores.select(F.col("store_id").cast("bigint").alias("store_id"), "store_name")
+
+
 def user_lookup(users: DataFrame) -> DataFrame:
     return users.select(F.col("user_id").cast("bigint").alias("user_id"), "username", "full_name", "email",
                         F.col("created_at").alias("user_created_at"))
@@ -49,12 +59,21 @@ def enrich(bronze: DataFrame, users: DataFrame, products: DataFrame, categories:
         "event_id", F.timestamp_seconds("occurred_at").alias("occurred_at"), "event_type", "platform",
         F.col("user_id").cast("bigint").alias("user_id"), F.col("product_id").cast("bigint").alias("product_id"),
         "date", "hour")
+    lookups = {}
+    if "users" in dims:
+        lookups["user_id"] = user_lookup(users)
+    if "products" in dims:
+        lookups["category_id"] = category_lookup(categories)
+        lookups["store_id"] = store_lookup(stores)
+    bytes_of = dict(zip(lookups, measured_sizes(list(lookups.values())))) if lookups else {}
+
     wide = events
     if "users" in dims:
-        wide = attach(wide, user_lookup(users), "user_id", broadcast_bytes=broadcast_bytes,
-                      weigh=events.select("user_id"))
+        wide = attach(wide, lookups["user_id"], "user_id", broadcast_bytes=broadcast_bytes,
+                      weigh=events.select("user_id"), lookup_bytes=bytes_of["user_id"])
     if "products" in dims:
-        lookup = product_lookup(products, categories, stores, broadcast_bytes)
+        lookup = product_lookup(products, categories, stores, broadcast_bytes,
+                                (bytes_of["category_id"], bytes_of["store_id"]))
         wide = attach(wide, lookup, "product_id", broadcast_bytes=broadcast_bytes,
                       weigh=events.select("product_id"))
     return wide.select(*[

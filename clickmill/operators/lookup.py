@@ -14,14 +14,22 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HEAVY_KEYS = 1024
 
 
+def measured_sizes(frames: Sequence[DataFrame]) -> list[int]:
+    """Size of each frame from its own values: text length plus 16 bytes per cell. One job, map-side summed."""
+    sums = []
+    for position, df in enumerate(frames):
+        cells = [
+            F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 16 if dtype == "string" else F.lit(16)
+            for name, dtype in df.dtypes
+        ]
+        width = reduce(lambda a, b: a + b, cells).cast("bigint")
+        sums.append(df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).select(F.lit(position).alias("n"), "bytes"))
+    rows = reduce(DataFrame.unionByName, sums).collect()  # one row per frame
+    return [row["bytes"] for row in sorted(rows)]
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` from its own values: text length plus 16 bytes per cell. One narrow pass, map-side summed."""
-    cells = [
-        F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 16 if dtype == "string" else F.lit(16)
-        for name, dtype in df.dtypes
-    ]
-    width = reduce(lambda a, b: a + b, cells).cast("bigint")
-    return df.agg(F.coalesce(F.sum(width), F.lit(0))).head()[0]
+    return measured_sizes([df])[0]
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -30,16 +38,18 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> Dat
 
 def attach(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",
            broadcast_bytes: int = BROADCAST_BYTES, heavy_keys: int = HEAVY_KEYS,
-           weigh: DataFrame | None = None) -> DataFrame:
+           weigh: DataFrame | None = None, lookup_bytes: int | None = None) -> DataFrame:
     """Join ``lookup`` (unique on ``on``) to ``fact``, keeping the fact's rows whole.
 
     The lookup is measured first. If it fits, it is broadcast and the fact does not move. Otherwise the fact is
     shuffled, except that the ``heavy_keys`` most frequent keys get their lookup rows by broadcast (at most that many
     rows), and those rows, like the rows with a null key, are spread evenly over the shuffle instead of meeting on
-    one task. ``weigh`` names a cheaper frame with the same keys to count in, such as the fact before other joins.
+    one task. ``weigh`` names a cheaper frame with the same keys to count in, such as the fact before other joins;
+    ``lookup_bytes`` is the lookup's size if it has been measured already.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if measured_bytes(lookup) <= broadcast_bytes:
+    size = measured_bytes(lookup) if lookup_bytes is None else lookup_bytes
+    if size <= broadcast_bytes:
         return fact.join(F.broadcast(lookup), keys, how)
     return _attach_shuffled(fact, lookup, keys, how, heavy_keys, fact if weigh is None else weigh)
 

@@ -19,27 +19,22 @@ def parse_messages(messages: DataFrame, id_pattern: str | None = None) -> DataFr
     Event ids must be UUIDs and are put in canonical form; with ``id_pattern`` they must match that instead.
     """
     parsed_type = T.StructType([*EVENT_MESSAGE.fields, T.StructField("_corrupt_record", T.StringType())])
-    text = F.col("value").cast("string")
-    decoded = messages.withColumn("__text", text).withColumn(
-        "__m", F.from_json("__text", parsed_type, {"mode": "PERMISSIVE"}))
-    fields = decoded.select(
-        "*", F.col("__m._corrupt_record").alias("__broken"),
-        *[F.col(f"__m.{f.name}").alias(f"__raw_{f.name}") for f in EVENT_MESSAGE])
-    checked = fields.select(
-        *messages.columns, "__text", "__broken",
-        _checked_id(F.col("__raw_event_id"), id_pattern).alias("event_id"),
-        F.col("__raw_user_id").alias("user_id"), F.col("__raw_product_id").alias("product_id"),
-        F.col("__raw_event_type").alias("event_type"), F.col("__raw_platform").alias("platform"),
-        lenient_timestamp(F.col("__raw_occurred_at")).alias("occurred_at"),
-        all_set([f"__raw_{f.name}" for f in EVENT_MESSAGE]).alias("__complete"))
+    # One-row generators hold the decoded values: a later filter on ``problem`` would otherwise be pushed below and
+    # decode each message again for every field it looks at.
+    decoded = messages.withColumn("__text", F.col("value").cast("string")).select(
+        "*", F.inline(F.array(F.from_json("__text", parsed_type, {"mode": "PERMISSIVE"}))))
+    checked = decoded.select(*messages.columns, "__text", "_corrupt_record", F.inline(F.array(F.struct(
+        _checked_id(F.col("event_id"), id_pattern).alias("event_id"), "user_id", "product_id", "event_type",
+        "platform", lenient_timestamp(F.col("occurred_at")).alias("occurred_at"),
+        all_set(EVENT_MESSAGE.names).alias("__complete")))))
     in_range = F.col("user_id").between(0, MAX_KEY) & F.col("product_id").between(0, MAX_KEY)
     problem = (F.when(F.col("__text").isNull(), "empty message")
-               .when(F.col("__broken").isNotNull(), "malformed json")
+               .when(F.col("_corrupt_record").isNotNull(), "malformed json")
                .when(~F.col("__complete"), "missing field")
                .when(F.col("event_id").isNull(), "bad event id")
                .when(F.col("occurred_at").isNull(), "bad time")
                .when(~in_range, "key out of range"))
-    return checked.withColumn("problem", problem)
+    return checked.withColumn("problem", problem).drop("_corrupt_record")
 
 
 def _checked_id(raw: Column, pattern: str | None) -> Column:

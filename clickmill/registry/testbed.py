@@ -23,13 +23,16 @@ def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = F.lit(None).cast("string")
     for old, new in EVENT_TYPES.items():
         renamed = F.when(kind == old, new).otherwise(renamed)
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    at = F.date_trunc("second", F.col("ts").cast("timestamp"))
-    return source.select(
-        F.col("event_id").cast("string").alias("event_id"), "user_id", (k * 21).alias("product_id"),
-        renamed.alias("event_type"),
+    # The decoded key and the time are used several times, so they are columns of their own first.
+    decoded = source.select(
+        "event_id", "user_id", renamed.alias("event_type"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("occurred_at"))
+    k = F.col("k")
+    return decoded.select(
+        F.col("event_id").cast("string").alias("event_id"), "user_id", (k * 21).alias("product_id"), "event_type",
         F.when(k % 3 == 0, "WEB").when(k % 3 == 1, "IOS").otherwise("ANDROID").alias("platform"),
-        at.alias("occurred_at"), date_key(at).alias("date"), hour_key(at).alias("hour"))
+        "occurred_at", date_key(F.col("occurred_at")).alias("date"), hour_key(F.col("occurred_at")).alias("hour"))
 
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
