@@ -24,17 +24,19 @@ def conform(df: DataFrame, contract: T.StructType, **fixed: Column) -> DataFrame
     return df.select(*[column(f) for f in contract])
 
 
-def write_snapshot(df: DataFrame, root: str, date: str, contract: T.StructType, overwrite: bool = False) -> str:
+def write_snapshot(df: DataFrame, root: str, date: str, contract: T.StructType, overwrite: bool = False,
+                   key: str | None = None) -> str:
     """Write a full copy of a dimension under ``date=``; returns written, skipped or empty.
 
-    A date that is there already is left alone unless ``overwrite``; an empty source writes nothing.
+    A date that is there already is left alone unless ``overwrite``; an empty source writes nothing. With ``key`` a
+    source that repeats a key is refused.
     """
     leaf = f"{root.rstrip('/')}/date={date}"
     if not overwrite and path_exists(df.sparkSession, leaf):
         return "skipped"
     if df.isEmpty():
         return "empty"
-    rows = conform(df, contract).drop("date")
+    rows = conform(require_unique(df, [key]) if key else df, contract).drop("date")
     # "ignore" settles the race of two writers that both saw the date missing.
     rows.write.mode("overwrite" if overwrite else "ignore").parquet(leaf)
     return "written"

@@ -2,38 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.operators.lookup import BROADCAST_BYTES, attach, measured_sizes
+from clickmill.operators.lookup import BROADCAST_BYTES, Size, attach, measure
 from clickmill.schemas import SILVER_EVENTS
 
 USER_COLUMNS = ("username", "full_name", "email", "user_created_at")
 PRODUCT_COLUMNS = ("product_name", "product_price", "category_name", "store_name")
 
 
-def product_lookup(products: DataFrame, categories: DataFrame, stores: DataFrame,
-                   broadcast_bytes: int = BROADCAST_BYTES, sizes: tuple[int, int] | None = None) -> DataFrame:
-    """Products with the names of their category and store, one row per product.
-
-    Joining the three dimensions first leaves one join on the events instead of three. A product without a known
-    category or store keeps its own columns. ``sizes`` are the bytes of both name lookups if measured already.
-    """
-    base = products.select(
-        F.col("product_id").cast("bigint").alias("product_id"), F.col("category_id").cast("bigint").alias("category_id"),
-        F.col("store_id").cast("bigint").alias("store_id"), F.col("name").alias("product_name"),
-        F.col("price").cast("double").alias("product_price"))
-    category, store = category_lookup(categories), store_lookup(stores)
-    category_bytes, store_bytes = sizes or measured_sizes([category, store])
-    named = attach(base, category, "category_id", broadcast_bytes=broadcast_bytes, weigh=base.select("category_id"),
-                   lookup_bytes=category_bytes)
-    named = attach(named, store, "store_id", broadcast_bytes=broadcast_bytes, weigh=base.select("store_id"),
-                   lookup_bytes=store_bytes)
-    return named.select("product_id", *PRODUCT_COLUMNS)
-
-
 def category_lookup(categories: DataFrame) -> DataFrame:
     return categories.select(F.col("category_id").cast("bigint").alias("category_id"),
                              F.col("name").alias("category_name"))
@@ -48,6 +28,29 @@ def user_lookup(users: DataFrame) -> DataFrame:
                         F.col("created_at").alias("user_created_at"))
 
 
+def product_keys(products: DataFrame) -> DataFrame:
+    return products.select(
+        F.col("product_id").cast("bigint").alias("product_id"), F.col("category_id").cast("bigint").alias("category_id"),
+        F.col("store_id").cast("bigint").alias("store_id"), F.col("name").alias("product_name"),
+        F.col("price").cast("double").alias("product_price"))
+
+
+def _attach_products(events: DataFrame, products: DataFrame, category: DataFrame, store: DataFrame,
+                     broadcast_bytes: int, sizes: Sequence[Size], weigh: DataFrame) -> DataFrame:
+    """Join the product dimensions with each other first: that leaves one join on the events instead of three.
+
+    A product without a known category or store keeps its own columns; an unknown product has none of them.
+    """
+    own, of_category, of_store = sizes
+    named = attach(products, category, "category_id", broadcast_bytes=broadcast_bytes,
+                   weigh=products.select("category_id"), lookup_bytes=of_category.bytes)
+    named = attach(named, store, "store_id", broadcast_bytes=broadcast_bytes,
+                   weigh=products.select("store_id"), lookup_bytes=of_store.bytes)
+    most_bytes = own.bytes + own.rows * (of_category.widest + of_store.widest)
+    return attach(events, named.select("product_id", *PRODUCT_COLUMNS), "product_id",
+                  broadcast_bytes=broadcast_bytes, weigh=weigh, lookup_bytes=most_bytes)
+
+
 def enrich(bronze: DataFrame, users: DataFrame, products: DataFrame, categories: DataFrame, stores: DataFrame,
            dims: Collection[str] = ("users", "products"), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Wide events: every bronze event once, with user and product columns or nulls where the key is unknown.
@@ -59,23 +62,19 @@ def enrich(bronze: DataFrame, users: DataFrame, products: DataFrame, categories:
         "event_id", F.timestamp_seconds("occurred_at").alias("occurred_at"), "event_type", "platform",
         F.col("user_id").cast("bigint").alias("user_id"), F.col("product_id").cast("bigint").alias("product_id"),
         "date", "hour")
-    lookups = {}
+    lookups = []
     if "users" in dims:
-        lookups["user_id"] = user_lookup(users)
+        lookups += [user_lookup(users)]
     if "products" in dims:
-        lookups["category_id"] = category_lookup(categories)
-        lookups["store_id"] = store_lookup(stores)
-    bytes_of = dict(zip(lookups, measured_sizes(list(lookups.values())))) if lookups else {}
+        lookups += [product_keys(products), category_lookup(categories), store_lookup(stores)]
+    sizes = measure(lookups) if lookups else []
 
     wide = events
     if "users" in dims:
-        wide = attach(wide, lookups["user_id"], "user_id", broadcast_bytes=broadcast_bytes,
-                      weigh=events.select("user_id"), lookup_bytes=bytes_of["user_id"])
+        wide = attach(wide, lookups[0], "user_id", broadcast_bytes=broadcast_bytes,
+                      weigh=events.select("user_id"), lookup_bytes=sizes[0].bytes)
     if "products" in dims:
-        lookup = product_lookup(products, categories, stores, broadcast_bytes,
-                                (bytes_of["category_id"], bytes_of["store_id"]))
-        wide = attach(wide, lookup, "product_id", broadcast_bytes=broadcast_bytes,
-                      weigh=events.select("product_id"))
+        wide = _attach_products(wide, *lookups[-3:], broadcast_bytes, sizes[-3:], weigh=events.select("product_id"))
     return wide.select(*[
         F.col(f.name) if f.name in wide.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in SILVER_EVENTS])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,13 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HEAVY_KEYS = 1024
 
 
-def measured_sizes(frames: Sequence[DataFrame]) -> list[int]:
+class Size(NamedTuple):
+    rows: int
+    bytes: int
+    widest: int  # bytes of the largest row
+
+
+def measure(frames: Sequence[DataFrame]) -> list[Size]:
     """Size of each frame from its own values: text length plus 16 bytes per cell. One job, map-side summed."""
     sums = []
     for position, df in enumerate(frames):
@@ -23,13 +30,15 @@ def measured_sizes(frames: Sequence[DataFrame]) -> list[int]:
             for name, dtype in df.dtypes
         ]
         width = reduce(lambda a, b: a + b, cells).cast("bigint")
-        sums.append(df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).select(F.lit(position).alias("n"), "bytes"))
+        sums.append(df.select(width.alias("width")).agg(
+            F.lit(position).alias("position"), F.count("width").alias("rows"),
+            F.coalesce(F.sum("width"), F.lit(0)).alias("bytes"), F.coalesce(F.max("width"), F.lit(0)).alias("widest")))
     rows = reduce(DataFrame.unionByName, sums).collect()  # one row per frame
-    return [row["bytes"] for row in sorted(rows)]
+    return [Size(row["rows"], row["bytes"], row["widest"]) for row in sorted(rows)]
 
 
 def measured_bytes(df: DataFrame) -> int:
-    return measured_sizes([df])[0]
+    return measure([df])[0].bytes
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -44,8 +53,9 @@ def attach(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str
     The lookup is measured first. If it fits, it is broadcast and the fact does not move. Otherwise the fact is
     shuffled, except that the ``heavy_keys`` most frequent keys get their lookup rows by broadcast (at most that many
     rows), and those rows, like the rows with a null key, are spread evenly over the shuffle instead of meeting on
-    one task. ``weigh`` names a cheaper frame with the same keys to count in, such as the fact before other joins;
-    ``lookup_bytes`` is the lookup's size if it has been measured already.
+    one task. ``weigh`` names a cheaper frame with the same keys to count in, such as the fact before other joins, or, with a
+    column ``__n``, holds the fact's rows per key already;
+    ``lookup_bytes`` is the lookup's size, or an upper bound of it, if that is known already.
     """
     keys = [on] if isinstance(on, str) else list(on)
     size = measured_bytes(lookup) if lookup_bytes is None else lookup_bytes
@@ -60,8 +70,10 @@ def _attach_shuffled(fact: DataFrame, lookup: DataFrame, keys: list[str], how: s
         raise ValueError(f"attach supports left and inner joins, not {how}")
     extra = [c for c in lookup.columns if c not in keys]
 
-    heavy = (weigh.where(all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-             .orderBy(F.desc("__n"), *keys).limit(heavy_keys).select(*keys))
+    counted = weigh.where(all_set(keys))
+    if "__n" not in weigh.columns:
+        counted = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    heavy = counted.orderBy(F.desc("__n"), *keys).limit(heavy_keys).select(*keys)
     heavy_rows = lookup.join(F.broadcast(heavy), keys, "left_semi").withColumn("__found", F.lit(True))
     heavy_lookup = (heavy.join(F.broadcast(heavy_rows), keys, "left")
                     .select(*keys, F.lit(True).alias("__heavy"), F.col("__found").alias("__heavy_found"),

@@ -30,14 +30,15 @@ def session_blocks(events: DataFrame, gap: int = SESSION_GAP_SECONDS, grain: Seq
     previous event of the same grain.
     """
     blocks = _with_block(events, gap).groupBy(*grain, "user_id", "__block").agg(
-        F.min("__sec").alias("__first"), F.max("__sec").alias("__last"), F.count("event_id").alias("events"))
+        F.min("__sec").alias("__first"), F.max("__sec").alias("__last"), F.count("event_id").alias("events"),
+        F.count(F.lit(1)).alias("rows"))
     per_user = Window.partitionBy(*grain, "user_id").orderBy("__block")
     previous = F.lag("__last").over(per_user)
     starts = F.when(previous.isNull() | (F.col("__first") - previous > gap), 1).otherwise(0)
     blocks = blocks.withColumn("__starts", starts)
     index = F.sum("__starts").over(per_user)
     return blocks.select(
-        *grain, "user_id", "__block", "__first", "__last", "events", index.alias("session_idx"),
+        *grain, "user_id", "__block", "__first", "__last", "events", "rows", index.alias("session_idx"),
         F.concat(F.col("user_id").cast("string"), F.lit("_"), index.cast("string")).alias("session_id"))
 
 
@@ -45,9 +46,12 @@ def assign_sessions(events: DataFrame, gap: int = SESSION_GAP_SECONDS, grain: Se
                     broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``session_id`` (null for null users) to every event."""
     keys = [*grain, "user_id", "__block"]
-    blocks = session_blocks(events, gap, grain).select(*keys, "session_id")
-    timed = _with_block(events, gap)
-    return attach(timed, blocks, keys, broadcast_bytes=broadcast_bytes).select(*events.columns, "session_id")
+    blocks = session_blocks(events, gap, grain)
+    # There are at most as many blocks as events; a row is a few cells and a session id of two numbers.
+    most_bytes = events.count() * (16 * (len(keys) + 1) + 16 * len(grain) + 41)
+    joined = attach(_with_block(events, gap), blocks.select(*keys, "session_id"), keys, broadcast_bytes=broadcast_bytes,
+                    weigh=blocks.select(*keys, F.col("rows").alias("__n")), lookup_bytes=most_bytes)
+    return joined.select(*events.columns, "session_id")
 
 
 def session_spans(events: DataFrame, gap: int = SESSION_GAP_SECONDS, grain: Sequence[str] = ("date",)) -> DataFrame:

@@ -22,7 +22,9 @@ def funnel_conversion(silver: DataFrame, grain: Sequence[str] = ("date", "hour")
     bit = F.lit(0)
     for position, step in enumerate(FUNNEL_STEPS):
         bit = F.when(F.col("event_type") == step, 1 << position).otherwise(bit)
-    per_user = silver.groupBy(*grain, "platform", "user_id").agg(F.bit_or(bit).alias("reached"))
+    # Events outside the funnel only prove that the platform exists; without their user they shrink to one row.
+    steps = silver.select(*grain, "platform", F.when(bit != 0, F.col("user_id")).alias("user_id"), bit.alias("bit"))
+    per_user = steps.groupBy(*grain, "platform", "user_id").agg(F.bit_or("bit").alias("reached"))
     known = F.col("user_id").isNotNull()
     counts = per_user.groupBy(*grain, "platform").agg(*[
         F.count_if(known & (F.col("reached").bitwiseAND(1 << position) != 0)).alias(name)

@@ -7,10 +7,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmill import schemas
-from clickmill.operators.dimensions import latest_snapshot, require_unique
+from clickmill.operators.dimensions import latest_snapshot
 from clickmill.operators.enrich import enrich
 from clickmill.operators.tiering import merge_archive, to_bronze
 from clickmill.plans.funnel import funnel_conversion
@@ -24,6 +24,7 @@ from clickmill.sources.lake import partition_values, read_partition, read_range,
 
 HOUR = ("date", "hour")
 DAY = ("date",)
+HOT_BATCHES = T.StructType([*schemas.HOT_EVENTS.fields, T.StructField("batch", T.LongType())])
 
 
 @dataclass(frozen=True)
@@ -59,38 +60,39 @@ def archive_hour(spark: SparkSession, lake: Lake, date: str, hour: str) -> int:
     is left for the next run.
     """
     leaf = f"{lake.hot.rstrip('/')}/date={date}/hour={hour}"
-    hot = read_table(spark, lake.hot, _with_batch()).where((F.col("date") == date) & (F.col("hour") == hour))
+    # The files are listed here, once: later steps see the same batches even if more arrive.
+    hot = read_partition(spark, lake.hot, HOT_BATCHES, date, hour)
     batches = [row[0] for row in partition_values(hot, "batch")]
     bronze_root = lake.folder("metadata.events")
     existing = read_partition(spark, bronze_root, schemas.BRONZE_EVENTS, date, hour)
     if not batches:
         return existing.count()
-    taken = hot.where(F.col("batch").isin(batches))
     # Written out first, because the merge reads the partition that it replaces.
-    merged = materialize(merge_archive(existing, to_bronze(taken)), "archive")
+    merged = materialize(merge_archive(existing, to_bronze(hot)), "archive")
     rows = sinks.replace_partition(merged, bronze_root, {"date": date, "hour": hour}, sinks.EVENT_SORT)
     remove_paths(spark, [f"{leaf}/batch={number}" for number in batches])
     return rows
 
 
-def _with_batch():
-    return schemas.T.StructType([*schemas.HOT_EVENTS.fields, schemas.T.StructField("batch", schemas.T.LongType())])
+def snapshots(spark: SparkSession, lake: Lake, as_of: str) -> dict[str, DataFrame]:
+    """The four dimensions as of a date, each a single snapshot."""
+    return {name: latest_snapshot(read_table(spark, lake.folder(f"metadata.{name}"), contract), as_of)
+            for name, contract in schemas.DIMENSIONS.items()}
 
 
-def snapshots(spark: SparkSession, lake: Lake, as_of: str, verify: bool = True) -> dict[str, DataFrame]:
-    """The four dimensions as of a date, each checked to be unique on its key."""
-    chosen = {}
-    for name, contract in schemas.DIMENSIONS.items():
-        frame = latest_snapshot(read_table(spark, lake.folder(f"metadata.{name}"), contract), as_of)
-        chosen[name] = require_unique(frame, [schemas.DIMENSION_KEYS[name]]) if verify else frame
-    return chosen
+def _require_same_rows(bronze_rows: int, silver_rows: int) -> None:
+    """Enrichment neither drops nor multiplies events; a dimension with a repeated key would multiply them."""
+    if bronze_rows != silver_rows:
+        raise ValueError(f"silver has {silver_rows} rows for {bronze_rows} bronze events: a dimension key repeats")
 
 
-def build_silver(spark: SparkSession, lake: Lake, date: str, hour: str, verify: bool = True) -> int:
+def build_silver(spark: SparkSession, lake: Lake, date: str, hour: str) -> int:
     bronze = read_partition(spark, lake.folder("metadata.events"), schemas.BRONZE_EVENTS, date, hour)
-    wide = enrich(bronze, **snapshots(spark, lake, date, verify))
-    return sinks.replace_partition(wide, lake.folder("silver.wide_table_events"), {"date": date, "hour": hour},
+    wide = enrich(bronze, **snapshots(spark, lake, date))
+    rows = sinks.replace_partition(wide, lake.folder("silver.wide_table_events"), {"date": date, "hour": hour},
                                    sinks.EVENT_SORT)
+    _require_same_rows(bronze.count(), rows)
+    return rows
 
 
 def build_mart(spark: SparkSession, lake: Lake, name: str, date: str, hour: str) -> int | None:
@@ -115,8 +117,8 @@ def run_hour(spark: SparkSession, lake: Lake, date: str, hour: str,
     return {**rows, **_side_by_side(lambda name: build_mart(spark, lake, name, date, hour), marts)}
 
 
-def backfill(spark: SparkSession, lake: Lake, first: str, last: str, marts: Sequence[str] = tuple(MARTS),
-             verify: bool = True) -> dict[str, int]:
+def backfill(spark: SparkSession, lake: Lake, first: str, last: str,
+             marts: Sequence[str] = tuple(MARTS)) -> dict[str, int]:
     """Recompute silver and gold for days ``first`` to ``last`` from bronze: one job per table, not one per hour.
 
     All days are joined to the snapshots as of ``last``. Partitions that the recomputed range no longer has are
@@ -125,9 +127,10 @@ def backfill(spark: SparkSession, lake: Lake, first: str, last: str, marts: Sequ
     silver_root = lake.folder("silver.wide_table_events")
     bronze = read_range(spark, lake.folder("metadata.events"), schemas.BRONZE_EVENTS, first, last)
     events = bronze.count()  # file footers only
-    wide = enrich(bronze, **snapshots(spark, lake, last, verify))
+    wide = enrich(bronze, **snapshots(spark, lake, last))
     rows = {"silver": _rewrite_range(spark, wide, silver_root, schemas.SILVER_EVENTS, HOUR, first, last,
                                      partition_values(bronze, *HOUR), events, sinks.EVENT_SORT)}
+    _require_same_rows(events, rows["silver"])
     silver = read_range(spark, silver_root, schemas.SILVER_EVENTS, first, last)
 
     def recompute(name: str) -> int:

@@ -13,8 +13,17 @@ EVENT_TYPES = {"signup": "SEARCH", "view": "VIEW_PRODUCT", "click": "ADD_TO_CART
                "error": "ERROR"}
 
 
+# The columns used, so that no job is spent on finding the schema.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:

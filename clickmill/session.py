@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plans and may be set on a running session.
 RUNTIME_CONF = {
+    # Call sites for error messages cost several driver calls per column expression.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",

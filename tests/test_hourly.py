@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from clickmill import jobs, schemas
 from clickmill.operators.dimensions import write_snapshot
-from clickmill.plans import hourly
-from clickmill.sources import sinks
+from clickmill.plans import hourly, reports
+from clickmill.sources import jdbc, sinks
 from clickmill.sources.lake import read_table
 from frames import events, rows_of
 
@@ -101,6 +101,36 @@ def test_backfill_removes_hours_that_bronze_no_longer_has(spark, lake):
     assert {r[-1] for r in left["gold.fact_rfm_segments"]} == {"10"}
 
 
+def test_a_repeated_dimension_key_is_an_error(spark, lake):
+    twice = spark.sql("SELECT 1 AS user_id, 'a' AS username UNION ALL SELECT 1, 'b'")
+    with pytest.raises(ValueError, match="not unique"):
+        write_snapshot(twice, lake.folder("metadata.users"), DAY, schemas.USERS, key="user_id")
+    write_snapshot(twice, lake.folder("metadata.users"), DAY, schemas.USERS)
+    with pytest.raises(ValueError, match="key repeats"):
+        hourly.run_hour(spark, lake, DAY, "10")
+
+
+def test_report_from_two_databases(spark, monkeypatch):
+    """The databases are stood in for by frames; what is asked of them is recorded."""
+    asked, written = [], {}
+    frames = {"products": spark.sql("SELECT 1 AS product_id, 'a' AS name, 2.5BD AS price"),
+              "events": spark.sql("SELECT '1' AS event_id, 1 AS product_id, 'SEARCH' AS event_type")}
+
+    def read(spark, target, table, **split):
+        asked.append((target.url, table, split))
+        return frames["events" if "events" in table else "products"]
+
+    monkeypatch.setattr(reports.jdbc, "read_jdbc", read)
+    monkeypatch.setattr(reports.jdbc, "overwrite_jdbc", lambda df, target, table: written.update({table: rows_of(df)}))
+    shop, hot = jdbc.JdbcTarget("shop"), jdbc.JdbcTarget("hot")
+    reports.refresh_product_sales(spark, shop, hot, split={"split_column": "user_id", "lower": 0, "upper": 9,
+                                                           "partitions": 3})
+    assert [(r[0], float(r[1]), r[2]) for r in written["mart_product_sales"]] == [("a", 2.5, 1)]
+    assert asked[0] == ("shop", "products", {})
+    assert asked[1][1].startswith("(SELECT") and asked[1][2]["partitions"] == 3
+    assert reports.snapshot_dimensions(spark, shop, "/nowhere", DAY, tables=[]) == {}
+
+
 def test_jobs_by_command_line(spark, lake, capsys, monkeypatch):
     monkeypatch.setattr(jobs, "build_session", lambda *args, **kwargs: spark)
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
