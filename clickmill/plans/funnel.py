@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.functions.columns import safe_ratio
@@ -13,23 +13,33 @@ from clickmill.schemas import FUNNEL_STEPS
 STEP_COLUMNS = ("step_1_visit", "step_2_view_product", "step_3_initiate_checkout", "step_4_purchase_success")
 
 
-def funnel_conversion(silver: DataFrame, grain: Sequence[str] = ("date", "hour")) -> DataFrame:
-    """One row per platform and grain. The steps are counted independently, so the rate may exceed 1.
-
-    Each user becomes one row with a bit per step reached. That replaces four distinct counts, which would copy every
-    event four times before the shuffle.
-    """
+def step_bit() -> Column:
+    """One bit per funnel step, 0 for other event types."""
     bit = F.lit(0)
     for position, step in enumerate(FUNNEL_STEPS):
         bit = F.when(F.col("event_type") == step, 1 << position).otherwise(bit)
-    # Events outside the funnel only prove that the platform exists; without their user they shrink to one row.
-    steps = silver.select(*grain, "platform", F.when(bit != 0, F.col("user_id")).alias("user_id"), bit.alias("bit"))
-    per_user = steps.groupBy(*grain, "platform", "user_id").agg(F.bit_or("bit").alias("reached"))
+    return bit
+
+
+def users_per_step(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct users of each step per ``keys``, for batch and streaming frames.
+
+    Each user becomes one row with a bit per step reached. That replaces four distinct counts, which would copy every
+    event four times before the shuffle. Events outside the funnel only prove that the keys exist; without their user
+    they shrink to one row.
+    """
+    bit = step_bit()
+    steps = events.select(*keys, F.when(bit != 0, F.col("user_id")).alias("user_id"), bit.alias("bit"))
+    per_user = steps.groupBy(*keys, "user_id").agg(F.bit_or("bit").alias("reached"))
     known = F.col("user_id").isNotNull()
-    counts = per_user.groupBy(*grain, "platform").agg(*[
+    return per_user.groupBy(*keys).agg(*[
         F.count_if(known & (F.col("reached").bitwiseAND(1 << position) != 0)).alias(name)
         for position, name in enumerate(STEP_COLUMNS)])
-    return counts.select(
+
+
+def funnel_conversion(silver: DataFrame, grain: Sequence[str] = ("date", "hour")) -> DataFrame:
+    """One row per platform and grain. The steps are counted independently, so the rate may exceed 1."""
+    return users_per_step(silver, [*grain, "platform"]).select(
         *[F.col("date").alias("log_date") for key in grain if key == "date"],
         F.col("platform").alias("device_type"), *STEP_COLUMNS,
         safe_ratio(F.col(STEP_COLUMNS[-1]), F.col(STEP_COLUMNS[0]), 4).alias("conversion_rate_overall"), *grain)

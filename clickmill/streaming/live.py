@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmill.functions.columns import safe_ratio
-from clickmill.plans.funnel import STEP_COLUMNS
+from clickmill.plans.funnel import STEP_COLUMNS, users_per_step
 from clickmill.schemas import FUNNEL_STEPS
 
 
@@ -28,8 +28,8 @@ def live_sessions(events: DataFrame, lateness: str, gap: str = "30 minutes") ->
 def live_funnel(events: DataFrame, lateness: str, approximate: bool = False, span: str = "1 hour") -> DataFrame:
     """Distinct users per step, platform and hour, emitted when the hour is complete.
 
-    The exact form first keeps one row per (hour, platform, user, step), with state that ends with the hour, and then
-    counts; the approximate form keeps one sketch per step instead.
+    The exact form chains two aggregations, first to one row per (hour, platform, user) and then to counts, with state
+    that ends with the hour; the approximate form keeps one sketch per step instead.
     """
     hours = events.withWatermark("occurred_at", lateness).select(
         F.window("occurred_at", span).alias("span"), "platform", "user_id", "event_type")
@@ -38,10 +38,7 @@ def live_funnel(events: DataFrame, lateness: str, approximate: bool = False, spa
             F.approx_count_distinct(F.when(F.col("event_type") == step, F.col("user_id"))).alias(name)
             for step, name in zip(FUNNEL_STEPS, STEP_COLUMNS)])
     else:
-        single = hours.dropDuplicates(["span", "platform", "user_id", "event_type"])
-        counts = single.groupBy("span", "platform").agg(*[
-            F.count(F.when(F.col("event_type") == step, F.col("user_id"))).alias(name)
-            for step, name in zip(FUNNEL_STEPS, STEP_COLUMNS)])
+        counts = users_per_step(hours, ["span", "platform"])
     return counts.select(
         F.date_format("span.start", "yyyy-MM-dd").alias("log_date"), F.col("platform").alias("device_type"),
         *STEP_COLUMNS,
