@@ -22,10 +22,12 @@ def number_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (),
     or a run of tied values, spreads over as many tasks as it needs. The placed rows are written once to the shared
     folder; positions follow from one small count per (partition, group).
     """
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in by]
+    # Without a number adaptive execution may merge neighbouring ranges, which keeps their order.
+    ranged = (df.repartitionByRange(partitions, *keys, *order) if partitions
+              else df.repartitionByRange(*keys, *order))
     placed = materialize(
-        df.repartitionByRange(count, *keys, *order).sortWithinPartitions(*keys, *order)
+        ranged.sortWithinPartitions(*keys, *order)
         .withColumn("__pos", F.monotonically_increasing_id()), "ranked")
     placed = placed.select(
         *df.columns, F.shiftright("__pos", _ROW_BITS).alias("__part"),

@@ -11,11 +11,12 @@ def tied(spark, n, groups=1):
         "id", (F.col("id") % groups).alias("g"), F.when(F.col("id") % 3 == 0, F.col("id") % 7).alias("v"))
 
 
+@pytest.mark.parametrize("partitions", [None, 5])
 @pytest.mark.parametrize("n,k", [(11, 5), (3, 5), (5, 5), (1000, 7), (150, 200), (0, 5)])
-def test_ntile_equals_the_built_in(spark, n, k):
+def test_ntile_equals_the_built_in(spark, n, k, partitions):
     df = tied(spark, n)
     order = [F.col("v").asc_nulls_first(), F.col("id").asc()]
-    ours = rows_of(ntile(df, k, order, "tile", partitions=5), "id", "tile")
+    ours = rows_of(ntile(df, k, order, "tile", partitions=partitions), "id", "tile")
     theirs = rows_of(df.withColumn("tile", F.ntile(k).over(Window.orderBy(*order))), "id", "tile")
     assert ours == theirs
 
@@ -43,3 +44,24 @@ def test_bucket_sizes_with_a_remainder(spark):
     df = tied(spark, 11)
     sizes = rows_of(ntile(df, 5, [F.col("id").asc()], "tile").groupBy("tile").count())
     assert sizes == [(1, 3), (2, 2), (3, 2), (4, 2), (5, 2)]
+
+
+def test_merged_neighbouring_ranges_keep_the_order(spark):
+    """Several tasks after adaptive merging: fewer than the ranges, more than one."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    parts = "spark.sql.shuffle.partitions"
+    df = spark.range(200_000).select("id", F.pmod(F.xxhash64("id"), F.lit(50)).alias("v"))
+    before = {key: spark.conf.get(key) for key in (size, least, parts)}
+    for key, value in ((size, "400k"), (least, "100k"), (parts, "40")):
+        spark.conf.set(key, value)
+    try:
+        order = [F.col("v").asc(), F.col("id").asc()]
+        numbered = number_rows(df, order)
+        assert 1 < len(numbered.inputFiles()) < 40
+        expected = df.withColumn("__rn", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+        assert numbered.select("id", "__rn").exceptAll(expected.select("id", "__rn")).isEmpty()
+        assert numbered.count() == 200_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
