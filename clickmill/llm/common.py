@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clickmill.session import apply_runtime_conf, materialize, remove_paths, shared_folder
 
 __all__ = ["prepare", "read_table", "words_of", "text_of", "materialize", "shared_folder", "remove_paths",
-           "hex_digest", "total_text_bytes"]
+           "discard", "total_text_bytes"]
 
 #: White space that separates words, as a Java character class.
 SPACE = r"[\x20\x09-\x0D]"
@@ -39,8 +39,9 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE + "+"), "")
 
 
-def hex_digest(value: Column) -> Column:
-    return F.sha2(value, 256)
+def discard(table: DataFrame) -> None:
+    """Deletes a work table that ``materialize`` made and nothing needs any more."""
+    remove_paths(table.sparkSession, sorted({name.rsplit("/", 1)[0] for name in table.inputFiles()}))
 
 
 def total_text_bytes(docs: DataFrame, column: str = "text") -> int:

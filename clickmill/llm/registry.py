@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm import bpe, preferences, quality_rules
+from clickmill.llm import bpe, decontaminate, line_dedup, preferences, quality_rules, shards, simhash, suffix_dedup
 from clickmill.llm.common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,66 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digest(read_table(spark, sf_dir, "documents"), RANKS)
 
 
+@register("op5_histogram_shards", r"""
+WITH RECURSIVE t AS (
+  SELECT b, 0 AS k, CAST(b AS BIGINT) AS v FROM range(0, 256) r(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM t WHERE k < 8),
+crc AS (
+  SELECT list(v ORDER BY b) AS tab FROM t WHERE k = 8),
+d AS (
+  SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS hash, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (
+  SELECT *, list_transform(range(0, strlen(text)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) AS bytes FROM d),
+k AS (
+  SELECT doc_id, strlen(text) + 8 AS size, hash,
+    xor(list_reduce(bytes, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS text_crc32,
+    sum(strlen(text) + 8) OVER () AS total,
+    coalesce(sum(strlen(text) + 8) OVER (ORDER BY hash, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM b, crc),
+s AS (
+  SELECT *, (SELECT count(*) FROM range(1, 24) r(n) WHERE below >= total * n // 24) AS shard FROM k)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY hash, doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM s
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards of near equal bytes."""
+    return shards.shard_digest(read_table(spark, sf_dir, "documents"))
+
+
+@register("op6_line_windows", r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+p AS (
+  SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS i FROM d WHERE len(lines) >= 3),
+w AS (
+  SELECT doc_id, i, lines[i] AS a, lines[i + 1] AS b, lines[i + 2] AS c FROM p
+  WHERE length(trim(lines[i] || lines[i + 1] || lines[i + 2], ' ' || chr(9) || chr(11) || chr(12) || chr(13))) > 0),
+n AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS n FROM w),
+r AS (
+  SELECT DISTINCT doc_id, i + k AS line FROM n, range(0, 3) t(k) WHERE n > 1),
+s AS (
+  SELECT doc_id, line, lag(line) OVER (PARTITION BY doc_id ORDER BY line) AS before FROM r),
+c AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS NULL OR before < line - 1) AS n_spans,
+    list(line) AS gone FROM s GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(lines) AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN lines ELSE
+    list_filter(lines, lambda x, i: NOT list_contains(gone, i)) END, chr(10)), '')) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of three lines and more that came before."""
+    return line_dedup.line_digest(read_table(spark, sf_dir, "documents"))
+
+
+@register("op7_simhash_bytes")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash.simhash_digest(read_table(spark, sf_dir, "documents"))
+
+
 @register("op8_quality_rules", r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -102,3 +162,31 @@ FROM b
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements and verdicts of every document."""
     return quality_rules.quality_digest(read_table(spark, sf_dir, "documents"))
+
+
+@register("op9_minhash_containment", r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+ds AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k FROM d WHERE len(w) > 0)),
+s AS (
+  SELECT DISTINCT item_id, array_to_string(w[k:k + 4], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k FROM i WHERE len(w) > 0)),
+n AS (
+  SELECT item_id, count(*) AS n_shingles FROM s GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, n_shingles, count(*) / n_shingles AS containment
+FROM ds JOIN s USING (s) JOIN n USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING 5 * count(*) >= 4 * n_shingles
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in every document."""
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 50-byte strings that start in an earlier document."""
+    return suffix_dedup.suffix_digest(read_table(spark, sf_dir, "documents"))
