@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_PRETOKENS = 400_000
+MAX_PRETOKENS = 200_000
 LONG_BYTES = 400
 #: Buckets of the literal map; a look-up scans one bucket.
 BUCKETS = 65_536
@@ -276,7 +276,7 @@ def _encoder(pieces: list[bytes]):
             if len(seen) > MAX_PRETOKENS:
                 seen, ids, starts = _Numbers(), np.zeros(0, np.int32), np.zeros(1, np.int64)
             known = len(seen)
-            refs = [np.array(list(map(seen.__getitem__, pretokens(text))), np.int64) for text in batch]
+            refs = [np.array(list(map(seen.__getitem__, pretokens(text))), np.int32) for text in batch]
             new = [w.encode() for w in islice(seen, known, None)]
             parts = fold_matrix([w if len(w) <= LONG_BYTES else b"" for w in new], byte_ids, table)
             for k, w in enumerate(new):

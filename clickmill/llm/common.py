@@ -18,9 +18,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of this subpackage.
 
     Shuffle files are dropped as soon as the query that wrote them has ended: every operator here hands results from
-    job to job as tables in the shared folder, so nothing reads them again.
+    job to job as tables in the shared folder, so nothing reads them again. Arrow batches are cut by bytes, since
+    the number of rows says little about texts that differ a thousandfold in length.
     """
     apply_runtime_conf(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
