@@ -16,7 +16,7 @@ position in fourteen is an anchor. The windows of one anchor lie in one context
 5. Documents collect the settled windows, merge them and drop the bytes.
 
 Every step hands over a table in the shared folder. Work is cut by bytes: the number of ranges and document parts grows with
-the corpus, so a task holds some tens of megabytes. One gram with different contexts in nearly all documents sends
+the corpus, so a task holds some megabytes. One gram with different contexts in nearly all documents sends
 one row of about twenty bytes per different context to one task; copies add none.
 
 Defined cases: null and empty texts have no bytes; matches never cross documents; a document is never its own source; rows of
@@ -41,9 +41,9 @@ GRAM = 24
 SPAN = MATCH - GRAM + 1
 #: Window starts that are hashed at once, and text that a task gathers before it sends anchors.
 BLOCK = 1 << 20
-CHUNK = 24 << 20
+CHUNK = 8 << 20
 #: Text per range of gram hashes and per part of the documents.
-RANGE_BYTES = 24 << 20
+RANGE_BYTES = 8 << 20
 #: Different contexts of one gram beyond which its windows travel one by one.
 MANY = 4096
 PLACE_BITS = 22
