@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm import bpe, decontaminate, line_dedup, preferences, quality_rules, shards, simhash, suffix_dedup
+from clickmill.llm import (
+    bpe, decontaminate, line_dedup, pii, preferences, quality_model, quality_rules, shards, simhash, suffix_dedup)
 from clickmill.llm.common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         preferences.mask_text("rejected_mask").alias("rejected_mask"))
 
 
+@register("op2_personal_data")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.personal_data_digest(read_table(spark, sf_dir, "documents"))
+
+
+@register("op3_quality_model")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_model.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @register("op4_byte_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""

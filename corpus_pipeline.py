@@ -1,12 +1,18 @@
-"""Stages that clean and tokenise ``documents``."""
+"""Stages that clean and tokenise ``documents``: quality rules, line dedup, near-dedup, decontamination, tokens.
+
+Each stage takes what the one before has kept and writes its result to the shared folder. Defined cases are those of the
+operators; a null doc_id passes through every stage, except that near-dedup keeps one of a group of null ids only where the
+group has no other id.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickmill.llm import bpe, quality_rules
+from clickmill.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
 from clickmill.llm.common import materialize, prepare, read_table
 from clickmill.llm.registry import RANKS
 
@@ -19,19 +25,43 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("__kept").select(*docs.columns)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated three-line passages; a document that lost all its lines goes, ``n_chars`` is counted anew."""
+    cut = line_dedup.dedup_lines(docs)
+    left = cut.where((F.size("removed_lines") == 0) | (F.length(F.col("text")) > 0))
+    return left.withColumn("n_chars", F.when(F.size("removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars"))
+                           .cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group, the one of the least id; repeated rows of it become one."""
+    groups = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(groups, F.col("doc_id").eqNullSafe(F.col("__id"))).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id"])
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, checked by decoding them: ``round_trip`` tells whether the text came back."""
     encoded = bpe.decode(bpe.encode(docs, RANKS), RANKS)
-    same = encoded["decoded"] == encoded["text"].cast("binary")
+    same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return encoded.withColumn("round_trip", same).drop("decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("simhash_near_dedup", near_copies),
+    ("benchmark_decontamination", benchmark_free),
     ("byte_bpe", tokens),
 ]
 
-#: SimHash has no counterpart in SQL; tests hold the stages against plain Python.
+#: SimHash over XXH64 has no counterpart in SQL; a test holds the stages against plain Python.
 ORACLE_SQL: str | None = None
 
 
