@@ -40,7 +40,7 @@ MATCH = 50
 GRAM = 24
 SPAN = MATCH - GRAM + 1
 #: Window starts that are hashed at once, and text that a task gathers before it sends anchors.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 CHUNK = 8 << 20
 #: Text per range of gram hashes and per part of the documents.
 RANGE_BYTES = 8 << 20
