@@ -20,8 +20,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the default policy of the quality rules."""
-    judged = quality_rules.apply_policy(quality_rules.ledger(docs), name="__kept")
+    """Documents that pass the default policy of the quality rules, judged by the stored ledger.
+
+    Without the table the verdict's filter would be pushed below the measurements and compute them over and over.
+    """
+    stored = materialize(quality_rules.ledger(docs), "quality-ledger")
+    judged = quality_rules.apply_policy(stored, name="__kept")
     return judged.where("__kept").select(*docs.columns)
 
 
