@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.functions.columns import all_set
+from clickmill.sources.lake import partition_values
 
 
 def dedup(df: DataFrame, keys: Sequence[str] = ("event_id",), prefer: Sequence[str] = ("occurred_at",)) -> DataFrame:
@@ -27,5 +28,11 @@ def dedup(df: DataFrame, keys: Sequence[str] = ("event_id",), prefer: Sequence[s
 
 
 def unified_events(cold: DataFrame, hot: DataFrame, keys: Sequence[str] = ("event_id",)) -> DataFrame:
-    """One logical events table over both tiers; an event present in both is returned once."""
-    return dedup(cold.unionByName(hot.select(*cold.columns)), keys)
+    """One logical events table over both tiers; an event present in both is returned once.
+
+    Copies of an event share its hour, and an archived hour holds none, so only the hours that are hot are compared. The
+    rest of the cold tier passes through: it is neither shuffled nor sorted. Hours in the hot tier are few and bounded.
+    """
+    hours = [f"{date} {hour}" for date, hour in partition_values(hot, "date", "hour")]
+    live = F.coalesce(F.concat_ws(" ", "date", "hour").isin(hours), F.lit(False)) if hours else F.lit(False)
+    return cold.where(~live).unionByName(dedup(cold.where(live).unionByName(hot.select(*cold.columns)), keys))

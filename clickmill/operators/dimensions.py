@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickmill.session import path_exists
+from clickmill.session import materialize, path_exists
 
 
 def conform(df: DataFrame, contract: T.StructType, **fixed: Column) -> DataFrame:
@@ -34,9 +35,12 @@ def write_snapshot(df: DataFrame, root: str, date: str, contract: T.StructType,
     leaf = f"{root.rstrip('/')}/date={date}"
     if not overwrite and path_exists(df.sparkSession, leaf):
         return "skipped"
-    if df.isEmpty():
+    # The source is read once: what is checked is what is written.
+    rows = materialize(conform(df, contract).drop("date"), "snapshot")
+    if rows.isEmpty():
         return "empty"
-    rows = conform(require_unique(df, [key]) if key else df, contract).drop("date")
+    if key:
+        require_unique(rows, [key])
     # "ignore" settles the race of two writers that both saw the date missing.
     rows.write.mode("overwrite" if overwrite else "ignore").parquet(leaf)
     return "written"
@@ -66,5 +70,23 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def loaded(dimension: DataFrame) -> DataFrame:
+    """One row with the column ``loaded``, false for an empty dimension; stops at the first row."""
+    return dimension.limit(1).agg((F.count(F.lit(1)) > 0).alias("loaded"))
+
+
 def is_loaded(dimension: DataFrame) -> bool:
-    return not dimension.isEmpty()
+    return loaded(dimension).first()["loaded"]
+
+
+def require_ready(dimensions: dict[str, DataFrame], keys: dict[str, str], optional: Sequence[str] = ()) -> None:
+    """Refuse dimensions that are empty or repeat a key; one job for all of them."""
+    rows = [df.select(F.lit(name).alias("name"), F.col(keys[name]).cast("string").alias("key")) for name, df in dimensions.items()]
+    counts = reduce(DataFrame.unionByName, rows).groupBy("name", "key").agg(F.count(F.lit(1)).alias("n"))
+    most = {row["name"]: row["most"] for row in counts.groupBy("name").agg(F.max("n").alias("most")).collect()}
+    missing = [name for name in dimensions if name not in most and name not in optional]
+    if missing:
+        raise ValueError(f"dimensions are not loaded: {missing}")
+    broken = [name for name, n in most.items() if n > 1]
+    if broken:
+        raise ValueError(f"a dimension key repeats in {broken}")

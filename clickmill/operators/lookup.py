@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.functions.columns import all_set
+from clickmill.session import materialize
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HEAVY_KEYS = 1024
+# A key is heavy with more than this share of a shuffle partition's mean load, so there are at most
+# HEAVY_PARTS * shuffle partitions of them.
+HEAVY_PARTS = 4
 
 
 class Size(NamedTuple):
@@ -46,13 +49,12 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> Dat
 
 
 def attach(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",
-           broadcast_bytes: int = BROADCAST_BYTES, heavy_keys: int = HEAVY_KEYS,
+           broadcast_bytes: int = BROADCAST_BYTES, heavy_parts: int = HEAVY_PARTS,
            weigh: DataFrame | None = None, lookup_bytes: int | None = None) -> DataFrame:
     """Join ``lookup`` (unique on ``on``) to ``fact``, keeping the fact's rows whole.
 
     The lookup is measured first. If it fits, it is broadcast and the fact does not move. Otherwise the fact is
-    shuffled, except that the ``heavy_keys`` most frequent keys get their lookup rows by broadcast (at most that many
-    rows), and those rows, like the rows with a null key, are spread evenly over the shuffle instead of meeting on
+    shuffled, except that heavy keys get their lookup rows by broadcast, and those rows, like the rows with a null key, are spread evenly over the shuffle instead of meeting on
     one task. ``weigh`` names a cheaper frame with the same keys to count in, such as the fact before other joins, or, with a
     column ``__n``, holds the fact's rows per key already;
     ``lookup_bytes`` is the lookup's size, or an upper bound of it, if that is known already.
@@ -61,10 +63,10 @@ def attach(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str
     size = measured_bytes(lookup) if lookup_bytes is None else lookup_bytes
     if size <= broadcast_bytes:
         return fact.join(F.broadcast(lookup), keys, how)
-    return _attach_shuffled(fact, lookup, keys, how, heavy_keys, fact if weigh is None else weigh)
+    return _attach_shuffled(fact, lookup, keys, how, heavy_parts, fact if weigh is None else weigh)
 
 
-def _attach_shuffled(fact: DataFrame, lookup: DataFrame, keys: list[str], how: str, heavy_keys: int,
+def _attach_shuffled(fact: DataFrame, lookup: DataFrame, keys: list[str], how: str, heavy_parts: int,
                      weigh: DataFrame) -> DataFrame:
     if how not in ("left", "inner"):
         raise ValueError(f"attach supports left and inner joins, not {how}")
@@ -73,7 +75,10 @@ def _attach_shuffled(fact: DataFrame, lookup: DataFrame, keys: list[str], how: s
     counted = weigh.where(all_set(keys))
     if "__n" not in weigh.columns:
         counted = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    heavy = counted.orderBy(F.desc("__n"), *keys).limit(heavy_keys).select(*keys)
+    # Bounded by arithmetic: fewer than ``most`` keys can each own more than one part in ``most`` of the rows.
+    most = heavy_parts * int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = materialize(counted.groupBy(*keys).agg(F.sum("__n").alias("__n")), "weights")
+    heavy = counted.where(F.col("__n") * most > counted.select(F.sum("__n")).scalar()).select(*keys)
     heavy_rows = lookup.join(F.broadcast(heavy), keys, "left_semi").withColumn("__found", F.lit(True))
     heavy_lookup = (heavy.join(F.broadcast(heavy_rows), keys, "left")
                     .select(*keys, F.lit(True).alias("__heavy"), F.col("__found").alias("__heavy_found"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from clickmill import schemas
-from clickmill.operators.dimensions import latest_snapshot
+from clickmill.operators.dimensions import latest_snapshot, require_ready
 from clickmill.operators.enrich import enrich
 from clickmill.operators.tiering import merge_archive, to_bronze
 from clickmill.plans.funnel import funnel_conversion
@@ -19,12 +19,13 @@ from clickmill.plans.rfm import rfm_segments
 from clickmill.plans.session_performance import session_performance
 from clickmill.session import materialize, remove_paths
 from clickmill.sources import sinks
-from clickmill.sources.catalog import table_folder
-from clickmill.sources.lake import partition_values, read_partition, read_range, read_table
+from clickmill.sources.catalog import sync_partitions, table_folder
+from clickmill.sources.lake import partition_folders, partition_values, read_partition, read_range, read_table
 
 HOUR = ("date", "hour")
+DIMENSION_KEYS = {"users": "user_id", "products": "product_id", "categories": "category_id", "stores": "store_id"}
 DAY = ("date",)
-HOT_BATCHES = T.StructType([*schemas.HOT_EVENTS.fields, T.StructField("batch", T.LongType())])
+HOT_BATCHES = T.StructType([*schemas.HOT_EVENTS.fields, T.StructField("batch", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -44,9 +45,15 @@ MARTS = {
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders of one lake. The hot tier may lie elsewhere."""
+    """Folders of one lake. The hot tier may lie elsewhere.
+
+    ``catalog``: prefix of the lake's tables in the catalog, as given to ``register_lake``; None if it has none.
+    ``optional``: dimensions that may be empty, whose columns are then null.
+    """
     root: str
     hot: str
+    catalog: str | None = None
+    optional: tuple[str, ...] = ()
 
     def folder(self, table: str) -> str:
         return table_folder(self.root, table)
@@ -75,9 +82,18 @@ def archive_hour(spark: SparkSession, lake: Lake, date: str, hour: str) -> int:
 
 
 def snapshots(spark: SparkSession, lake: Lake, as_of: str) -> dict[str, DataFrame]:
-    """The four dimensions as of a date, each a single snapshot."""
-    return {name: latest_snapshot(read_table(spark, lake.folder(f"metadata.{name}"), contract), as_of)
-            for name, contract in schemas.DIMENSIONS.items()}
+    """The four dimensions as of a date, each a single snapshot; refused if one is missing or repeats a key."""
+    frames = {name: latest_snapshot(read_table(spark, lake.folder(f"metadata.{name}"), contract), as_of)
+              for name, contract in schemas.DIMENSIONS.items()}
+    require_ready(frames, DIMENSION_KEYS, lake.optional)
+    return frames
+
+
+def publish(spark: SparkSession, lake: Lake, *tables: str) -> None:
+    """Make the partitions of tables known to the catalog, gone ones included."""
+    if lake.catalog is not None:
+        for table in tables:
+            sync_partitions(spark, lake.catalog + table, "FULL")
 
 
 def _require_same_rows(bronze_rows: int, silver_rows: int) -> None:
@@ -88,7 +104,7 @@ def _require_same_rows(bronze_rows: int, silver_rows: int) -> None:
 
 def build_silver(spark: SparkSession, lake: Lake, date: str, hour: str) -> int:
     bronze = read_partition(spark, lake.folder("metadata.events"), schemas.BRONZE_EVENTS, date, hour)
-    wide = enrich(bronze, **snapshots(spark, lake, date))
+    wide = enrich(bronze, **snapshots(spark, lake, date))  # checked before anything is written
     rows = sinks.replace_partition(wide, lake.folder("silver.wide_table_events"), {"date": date, "hour": hour},
                                    sinks.EVENT_SORT)
     _require_same_rows(bronze.count(), rows)
@@ -114,39 +130,86 @@ def run_hour(spark: SparkSession, lake: Lake, date: str, hour: str,
              marts: Sequence[str] = tuple(MARTS)) -> dict[str, int | None]:
     """Archive, enrich and compute the marts of one hour; returns the rows of each step."""
     rows = {"bronze": archive_hour(spark, lake, date, hour), "silver": build_silver(spark, lake, date, hour)}
-    return {**rows, **_side_by_side(lambda name: build_mart(spark, lake, name, date, hour), marts)}
+    rows |= _side_by_side(lambda name: build_mart(spark, lake, name, date, hour), marts)
+    publish(spark, lake, "metadata.events", "silver.wide_table_events", *[MARTS[name].table for name in marts])
+    return rows
+
+
+def pending_hours(spark: SparkSession, lake: Lake, before: str) -> list[tuple[str, str]]:
+    """Hours (date, hour) that hold hot events and start before ``before``, given as ``yyyy-MM-dd HH``.
+
+    Late events land in the hour of their own time, so an hour that was finished before shows up again.
+    """
+    hours = {(date, hour) for date, hour, _ in partition_folders(spark, lake.hot, *HOUR, "batch")}
+    return sorted((date, hour) for date, hour in hours if f"{date} {hour}" < before)
+
+
+def run_pending(spark: SparkSession, lake: Lake, before: str, marts: Sequence[str] = tuple(MARTS)) -> list[tuple[str, str]]:
+    """Archive and recompute every pending hour; a daily mart once per touched day. Returns the hours."""
+    hours = pending_hours(spark, lake, before)
+    by_hour = [name for name in marts if MARTS[name].grain == HOUR]
+    by_day = [name for name in marts if MARTS[name].grain == DAY]
+    for date, hour in hours:
+        archive_hour(spark, lake, date, hour)
+        build_silver(spark, lake, date, hour)
+        _side_by_side(lambda name: build_mart(spark, lake, name, date, hour), by_hour)
+    for date in sorted({date for date, _ in hours}):
+        _side_by_side(lambda name: build_mart(spark, lake, name, date, "00"), by_day)
+    if hours:
+        publish(spark, lake, "metadata.events", "silver.wide_table_events", *[MARTS[name].table for name in marts])
+    return hours
+
+
+def snapshot_periods(spark: SparkSession, lake: Lake, days: Sequence[str]) -> list[tuple[str, str]]:
+    """The days cut into runs (first, last) that see the same snapshot of every dimension."""
+    dates = [[d for d, in partition_folders(spark, lake.folder(f"metadata.{name}"), "date")] for name in schemas.DIMENSIONS]
+    seen = [tuple(max((d for d in known if d <= day), default=None) for known in dates) for day in days]
+    periods: list[tuple[str, str]] = []
+    for i, day in enumerate(days):
+        if i and seen[i] == seen[i - 1]:
+            periods[-1] = (periods[-1][0], day)
+        else:
+            periods.append((day, day))
+    return periods
 
 
 def backfill(spark: SparkSession, lake: Lake, first: str, last: str,
              marts: Sequence[str] = tuple(MARTS)) -> dict[str, int]:
-    """Recompute silver and gold for days ``first`` to ``last`` from bronze: one job per table, not one per hour.
+    """Recompute silver and gold for days ``first`` to ``last`` from bronze.
 
-    All days are joined to the snapshots as of ``last``. Partitions that the recomputed range no longer has are
-    removed. The marts depend only on silver and are submitted side by side.
+    Each day is joined to the snapshots as of that day, as the hourly run does: one silver job per run of days that see
+    the same snapshots, all of whose dimensions are checked before the first is written. The marts take one job each
+    and are submitted side by side. Partitions that the recomputed range no longer has are removed; their names come
+    from the folders.
     """
-    silver_root = lake.folder("silver.wide_table_events")
-    bronze = read_range(spark, lake.folder("metadata.events"), schemas.BRONZE_EVENTS, first, last)
-    events = bronze.count()  # file footers only
-    wide = enrich(bronze, **snapshots(spark, lake, last))
-    rows = {"silver": _rewrite_range(spark, wide, silver_root, schemas.SILVER_EVENTS, HOUR, first, last,
-                                     partition_values(bronze, *HOUR), events, sinks.EVENT_SORT)}
-    _require_same_rows(events, rows["silver"])
+    silver_root, bronze_root = lake.folder("silver.wide_table_events"), lake.folder("metadata.events")
+    hours = [h for h in partition_folders(spark, bronze_root, *HOUR) if first <= h[0] <= last]
+    periods = snapshot_periods(spark, lake, sorted({date for date, _ in hours}))
+    frames = [snapshots(spark, lake, end) for _, end in periods]
+    rows = {"silver": 0}
+    for (start, end), dimensions in zip(periods, frames):
+        bronze = read_range(spark, bronze_root, schemas.BRONZE_EVENTS, start, end)
+        written = sinks.overwrite_partitions(enrich(bronze, **dimensions), silver_root, HOUR, sinks.EVENT_SORT)
+        _require_same_rows(bronze.count(), written)
+        rows["silver"] += written
+    _drop_gone(spark, silver_root, HOUR, first, last, hours)
     silver = read_range(spark, silver_root, schemas.SILVER_EVENTS, first, last)
 
     def recompute(name: str) -> int:
         mart = MARTS[name]
-        contract, _ = schemas.LAKE_TABLES[mart.table]
-        return _rewrite_range(spark, mart.build(silver, grain=mart.grain), lake.folder(mart.table), contract,
-                              mart.grain, first, last, partition_values(silver, *mart.grain), events)
+        root = lake.folder(mart.table)
+        written = sinks.overwrite_partitions(mart.build(silver, grain=mart.grain), root, mart.grain)
+        _drop_gone(spark, root, mart.grain, first, last, sorted({h[:len(mart.grain)] for h in hours}))
+        return written
 
-    return {**rows, **_side_by_side(recompute, marts)}
+    rows |= _side_by_side(recompute, marts)
+    publish(spark, lake, "silver.wide_table_events", *[MARTS[name].table for name in marts])
+    return rows
 
 
-def _rewrite_range(spark, df, root, contract, grain, first, last, wanted, most_rows, sort=()) -> int:
-    rows = sinks.overwrite_partitions(df, root, grain, sort, most_rows)
-    present = partition_values(read_range(spark, root, contract, first, last), *grain)
+def _drop_gone(spark, root, grain, first, last, wanted) -> None:
+    present = [p for p in partition_folders(spark, root, *grain) if first <= p[0] <= last]
     sinks.drop_stale(spark, root, grain, present, wanted)
-    return rows
 
 
 def _side_by_side(work: Callable[[str], int | None], names: Sequence[str]) -> dict[str, int | None]:

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from clickmill.operators.ranking import ntile
 from clickmill.schemas import PURCHASE
 
+# The minutes shown for a user without a purchase, and the labels below.
 NO_PURCHASE_MINUTES = 9999
 TILES = 5
 # Users that one task may rank with the built-in window; larger groups are ranked by range partitions.
 WINDOW_USERS = 1_000_000
 
 # Order of each score; the user id makes every order total, so ties split the same way on every run.
+# Whoever bought nothing comes before the oldest purchase, however long the grain.
 SCORE_ORDERS = {
-    "r_score": lambda: F.col("recency_value").desc(),
-    "f_score": lambda: F.col("frequency_value").asc(),
-    "m_score": lambda: F.col("monetary_value").asc_nulls_first(),
+    "r_score": lambda: [(F.col("frequency_value") > 0).asc(), F.col("recency_value").desc()],
+    "f_score": lambda: [F.col("frequency_value").asc()],
+    "m_score": lambda: [F.col("monetary_value").asc_nulls_first()],
 }
 
 
@@ -58,10 +60,10 @@ def score(metrics: DataFrame, grain: Sequence[str], in_one_task: bool) -> DataFr
     scored = metrics
     for name, order in SCORE_ORDERS.items():
         if in_one_task:
-            window = Window.partitionBy(*grain).orderBy(order(), tie)
+            window = Window.partitionBy(*grain).orderBy(*order(), tie)
             scored = scored.withColumn(name, F.ntile(TILES).over(window))
         else:
-            scored = ntile(scored, TILES, [order(), tie], name, by=grain)
+            scored = ntile(scored, TILES, [*order(), tie], name, by=grain)
     return scored
 
 
@@ -77,10 +79,11 @@ def rfm_segments(silver: DataFrame, grain: Sequence[str] = ("date", "hour"), as_
     scored = score(metrics, grain, in_one_task=largest <= window_users)
 
     r, f = F.col("r_score"), F.col("f_score")
-    segment = (F.when((r >= 4) & (f >= 4), "Hourly Champions")
-               .when((r >= 3) & (f >= 3), "Hourly Active Users")
-               .when((r >= 4) & (f == 1), "Hourly New Buyers")
-               .otherwise("Hourly Low Active"))
+    prefix = "Hourly " if "hour" in grain else ""
+    segment = (F.when((r >= 4) & (f >= 4), prefix + "Champions")
+               .when((r >= 3) & (f >= 3), prefix + "Active Users")
+               .when((r >= 4) & (f == 1), prefix + "New Buyers")
+               .otherwise(prefix + "Low Active"))
     cell = F.concat(r.cast("string"), f.cast("string"), F.col("m_score").cast("string"))
     return scored.select("customer_id", "recency_value", "frequency_value", "monetary_value",
                          r.cast("int").alias("r_score"), f.cast("int").alias("f_score"),

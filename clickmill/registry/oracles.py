@@ -97,6 +97,7 @@ def _rfm(grain: tuple[str, ...]) -> str:
     else:
         anchor = """(SELECT CAST(max("date") || ' 23:59:59' AS TIMESTAMP) FROM ev)"""
     tail = f", {g}" if grain else ""
+    prefix = "Hourly " if "hour" in grain else ""
     return _with(_SILVER, f"""
 , facts AS (
   SELECT {group}, max(CASE WHEN event_type = 'PURCHASE' THEN occurred_at END) AS last_purchase,
@@ -107,16 +108,16 @@ metrics AS (
   SELECT *, coalesce(CAST(floor((epoch({anchor}) - epoch(last_purchase)) / 60) AS BIGINT), 9999) AS recency_value
   FROM facts),
 scores AS (
-  SELECT *, ntile(5) OVER ({part} ORDER BY recency_value DESC, user_id) AS r,
+  SELECT *, ntile(5) OVER ({part} ORDER BY frequency_value > 0, recency_value DESC, user_id) AS r,
          ntile(5) OVER ({part} ORDER BY frequency_value, user_id) AS f,
          ntile(5) OVER ({part} ORDER BY monetary_value NULLS FIRST, user_id) AS m
   FROM metrics)
 SELECT user_id AS customer_id, recency_value, CAST(frequency_value AS BIGINT) AS frequency_value, monetary_value,
   r AS r_score, f AS f_score, m AS m_score, CAST(r AS VARCHAR) || CAST(f AS VARCHAR) || CAST(m AS VARCHAR) AS rfm_cell,
-  CASE WHEN r IN (4, 5) AND f IN (4, 5) THEN 'Hourly Champions'
-       WHEN r IN (3, 4, 5) AND f IN (3, 4, 5) THEN 'Hourly Active Users'
-       WHEN r IN (4, 5) AND f = 1 THEN 'Hourly New Buyers'
-       ELSE 'Hourly Low Active' END AS segment_name{tail}
+  CASE WHEN r IN (4, 5) AND f IN (4, 5) THEN '{prefix}Champions'
+       WHEN r IN (3, 4, 5) AND f IN (3, 4, 5) THEN '{prefix}Active Users'
+       WHEN r IN (4, 5) AND f = 1 THEN '{prefix}New Buyers'
+       ELSE '{prefix}Low Active' END AS segment_name{tail}
 FROM scores""")
 
 
@@ -211,6 +212,7 @@ ORACLES = {
         SELECT strftime(ts, '%Y%m') AS month, event_type, count(*) AS events FROM events GROUP BY ALL""",
     "dimension_probe": """
         SELECT 'users' AS dimension, (SELECT count(*) FROM customer) > 0 AS loaded
+        UNION ALL SELECT 'nobody', FALSE
         UNION ALL SELECT 'products', (SELECT count(*) FROM part) > 0
         UNION ALL SELECT 'categories', (SELECT count(*) FROM part) > 0
         UNION ALL SELECT 'stores', (SELECT count(*) FROM supplier) > 0""",
@@ -218,11 +220,21 @@ ORACLES = {
     "stream_ingest_dedup": _EVENTS_ALL,
     "stream_distinct_events": _EVENTS_ALL,
     "stream_funnel": _funnel(("date", "hour")),
+    "stream_funnel_approx": f"""
+        SELECT log_date, "hour", device_type, TRUE AS close FROM ({_funnel(("date", "hour"))})""",
+    "late_hours_recomputed": _with(_EVENTS, """
+        , cut AS (SELECT * FROM ev WHERE "date" = '2024-01-01' AND "hour" < '03')
+        SELECT 'silver' AS part, "hour", count(*) AS n FROM cut GROUP BY "hour"
+        UNION ALL SELECT 'buyers', "hour", count(DISTINCT CASE WHEN event_type = 'PURCHASE' THEN platform || user_id END)
+        FROM cut GROUP BY "hour"
+        UNION ALL SELECT 'users', '', CAST(sum(n) AS BIGINT) FROM (
+          SELECT platform, count(DISTINCT user_id) AS n FROM cut GROUP BY platform)"""),
     "partition_replace_roundtrip": _with(_EVENTS, f"""
         SELECT {_BRONZE_COLUMNS} FROM ev WHERE "date" <> '2024-01-20' OR "hour" <> '10'"""),
     "gold_overwrite_roundtrip": _funnel(("date", "hour")),
     "hour_archive_roundtrip": _with(_EVENTS, _HOUR_COUNTS),
-    "catalog_sync_roundtrip": _with(_EVENTS, _HOUR_COUNTS),
+    "catalog_sync_roundtrip": _with(_EVENTS, f"""
+        SELECT * FROM ({_HOUR_COUNTS}) WHERE NOT ("date" = '2024-01-05' AND "hour" = '07')"""),
     "snapshot_if_absent": """
         SELECT p_partkey AS product_id, p_name AS name, p_retailprice AS price, '2024-01-30' AS "date" FROM part""",
     "gold_backfill": _with(_EVENTS, """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from clickmill.operators.messages import encode_events, good_events, parse_messa
 from clickmill.operators.sessions import assign_sessions, session_spans
 from clickmill.operators.tiering import archive_split, to_bronze
 from clickmill.plans import hourly
-from clickmill.plans.funnel import funnel_conversion
+from clickmill.plans.funnel import STEP_COLUMNS, funnel_conversion
 from clickmill.plans.product_sales import product_sales, top_products
 from clickmill.plans.profile import customer_profile
 from clickmill.plans.rfm import rfm_segments
@@ -63,13 +64,6 @@ def _silver(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return enrich(testbed.bronze_events(spark, sf_dir), **testbed.dimensions(spark, sf_dir), **options)
 
 
-def _events(spark: SparkSession, sf_dir: str) -> int:
-    """Number of events, from the file footers: an upper bound for every table derived from them."""
-    return testbed.table(spark, sf_dir, "events").count()
-
-
-# --- projections, tiers, joins -------------------------------------------------------------------------------------
-
 @register("bronze_export_projection")
 def bronze_export_projection(spark, sf_dir):
     return to_bronze(testbed.hot_events(spark, sf_dir))
@@ -103,7 +97,7 @@ def silver_enriched_shuffled(spark, sf_dir):
 def silver_partition_slice(spark, sf_dir):
     """Write the whole silver table by hour, then read one day's folder."""
     root = shared_folder(spark, "silver")
-    sinks.overwrite_partitions(_silver(spark, sf_dir), root, HOUR, sinks.EVENT_SORT, _events(spark, sf_dir))
+    sinks.overwrite_partitions(_silver(spark, sf_dir), root, HOUR, sinks.EVENT_SORT)
     return read_partition(spark, root, schemas.SILVER_EVENTS, "2024-01-12")
 
 
@@ -270,13 +264,11 @@ def month_bucket_counts(spark, sf_dir):
 
 @register("dimension_probe")
 def dimension_probe(spark, sf_dir):
+    """Which dimensions hold rows; one more is made empty on purpose."""
     frames = testbed.dimensions(spark, sf_dir)
-    answers = [frame.limit(1).select(F.lit(name).alias("dimension")).groupBy("dimension")
-               .agg((F.count(F.lit(1)) > 0).alias("loaded")) for name, frame in frames.items()]
-    first, *rest = answers
-    for answer in rest:
-        first = first.unionByName(answer)
-    return first
+    frames["nobody"] = frames["users"].where("user_id < 0")
+    answers = [dims.loaded(frame).select(F.lit(name).alias("dimension"), "loaded") for name, frame in frames.items()]
+    return reduce(DataFrame.unionByName, answers)
 
 
 # --- streaming ------------------------------------------------------------------------------------------------------
@@ -310,13 +302,12 @@ def _finished(query) -> None:
 
 @register("stream_ingest_dedup")
 def stream_ingest_dedup(spark, sf_dir):
-    """Ingest every message twice, the second time as a replay with a fresh checkpoint, then read without copies."""
+    """Ingest every message twice into one root, the second time as a replay with a fresh checkpoint; read without copies."""
     hot, bad = shared_folder(spark, "hot"), shared_folder(spark, "quarantine")
     messages = _message_files(spark, sf_dir, closing=False)
-    _finished(start_ingest(messages, f"{hot}/first", bad, shared_folder(spark, "offsets"), ANY_ID))
-    _finished(start_ingest(messages, f"{hot}/replay", bad, shared_folder(spark, "offsets"), ANY_ID))
-    return unified_events(read_table(spark, f"{hot}/first", schemas.HOT_EVENTS),
-                          read_table(spark, f"{hot}/replay", schemas.HOT_EVENTS))
+    for _ in range(2):
+        _finished(start_ingest(messages, hot, bad, shared_folder(spark, "offsets"), ANY_ID))
+    return dedup(read_table(spark, hot, schemas.HOT_EVENTS))
 
 
 @register("stream_distinct_events")
@@ -351,7 +342,13 @@ def stream_funnel(spark, sf_dir):
 
 @register("stream_funnel_approx")
 def stream_funnel_approx(spark, sf_dir):
-    return _stream_funnel(spark, sf_dir, approximate=True)
+    """Each hour and platform, and whether all its sketched counts are within a tenth, or one user, of the exact ones."""
+    keys = ["log_date", "hour", "device_type"]
+    exact = funnel_conversion(_silver(spark, sf_dir, dims=()))
+    near = reduce(lambda a, b: a & b, [
+        F.abs(F.col(f"a.{c}") - F.col(f"e.{c}")) <= F.greatest(F.lit(1.0), 0.1 * F.col(f"e.{c}")) for c in STEP_COLUMNS])
+    rows = _stream_funnel(spark, sf_dir, approximate=True).alias("a").join(exact.alias("e"), keys, "full")
+    return rows.select(*keys, F.coalesce(near, F.lit(False)).alias("close"))
 
 
 # --- sinks, catalog, whole hours ------------------------------------------------------------------------------------
@@ -361,7 +358,7 @@ def partition_replace_roundtrip(spark, sf_dir):
     """Write bronze by hour, replace one hour by itself and another by nothing, read all of it back."""
     root = shared_folder(spark, "bronze")
     bronze = testbed.bronze_events(spark, sf_dir)
-    sinks.overwrite_partitions(bronze, root, HOUR, sinks.EVENT_SORT, _events(spark, sf_dir))
+    sinks.overwrite_partitions(bronze, root, HOUR, sinks.EVENT_SORT)
     sinks.replace_partition(bronze.where("date = '2024-01-20' AND hour = '09'"), root,
                             {"date": "2024-01-20", "hour": "09"}, sinks.EVENT_SORT)
     sinks.replace_partition(bronze.where("false"), root, {"date": "2024-01-20", "hour": "10"})
@@ -373,9 +370,8 @@ def gold_overwrite_roundtrip(spark, sf_dir):
     """Write the funnel for all hours, then again for the later half: each hour must be there once."""
     root = shared_folder(spark, "funnel")
     funnel = funnel_conversion(_silver(spark, sf_dir, dims=()))
-    most = _events(spark, sf_dir)
-    sinks.overwrite_partitions(funnel, root, HOUR, rows=most)
-    sinks.overwrite_partitions(funnel.where("date >= '2024-01-15'"), root, HOUR, rows=most)
+    sinks.overwrite_partitions(funnel, root, HOUR)
+    sinks.overwrite_partitions(funnel.where("date >= '2024-01-15'"), root, HOUR)
     return read_table(spark, root, schemas.FUNNEL_CONVERSION)
 
 
@@ -383,8 +379,8 @@ def _hot_tier(spark: SparkSession, sf_dir: str) -> hourly.Lake:
     """A new lake whose hot tier holds all events as one ingested batch."""
     root = shared_folder(spark, "lake")
     lake = hourly.Lake(f"{root}/cold", f"{root}/hot")
-    sinks.overwrite_partitions(testbed.hot_events(spark, sf_dir).withColumn("batch", F.lit(0)), lake.hot,
-                               (*HOUR, "batch"), rows=_events(spark, sf_dir))
+    sinks.overwrite_partitions(testbed.hot_events(spark, sf_dir).withColumn("batch", F.lit("0")), lake.hot,
+                               (*HOUR, "batch"))
     return lake
 
 
@@ -399,17 +395,38 @@ def hour_archive_roundtrip(spark, sf_dir):
     return hot.unionByName(cold).groupBy(*HOUR).agg(F.count(F.lit(1)).alias("events"))
 
 
+@register("late_hours_recomputed")
+def late_hours_recomputed(spark, sf_dir):
+    """Run all hours before 03 of the first day, let a fifth of the events arrive late, run what is pending again."""
+    root = shared_folder(spark, "lake")
+    lake = hourly.Lake(f"{root}/cold", f"{root}/hot")
+    for name, frame in testbed.dimensions(spark, sf_dir).items():
+        dims.write_snapshot(frame, lake.folder(f"metadata.{name}"), "2024-01-01", schemas.DIMENSIONS[name])
+    events, late = testbed.hot_events(spark, sf_dir), F.col("event_id").cast("bigint") % 5 == 0
+    for batch, part in (("first", events.where(~late)), ("late", events.where(late))):
+        sinks.overwrite_partitions(part.withColumn("batch", F.lit(batch)), lake.hot, (*HOUR, "batch"))
+        hourly.run_pending(spark, lake, "2024-01-01 03", ["funnel_conversion", "session_performance"])
+    silver = read_table(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS)
+    funnel = read_table(spark, lake.folder("gold.fact_funnel_conversion"), schemas.FUNNEL_CONVERSION)
+    sessions = read_table(spark, lake.folder("gold.fact_session_performance"), schemas.SESSION_PERFORMANCE)
+    return (silver.groupBy("hour").agg(F.count(F.lit(1)).alias("n")).select(F.lit("silver").alias("part"), "hour", "n")
+            .unionByName(funnel.groupBy("hour").agg(F.sum("step_4_purchase_success").alias("n"))
+                         .select(F.lit("buyers").alias("part"), "hour", "n"))
+            .unionByName(sessions.agg(F.sum("total_users").alias("n"))
+                         .select(F.lit("users").alias("part"), F.lit("").alias("hour"), "n")))
+
+
 @register("catalog_sync_roundtrip")
 def catalog_sync_roundtrip(spark, sf_dir):
     """External table over a partitioned folder, read by name after its partitions are registered."""
     root = shared_folder(spark, "catalog")
     name = "clickmill_" + root.rsplit("-", 1)[1]
-    sinks.overwrite_partitions(testbed.bronze_events(spark, sf_dir), f"{root}/events", HOUR,
-                               rows=_events(spark, sf_dir))
+    sinks.overwrite_partitions(testbed.bronze_events(spark, sf_dir), f"{root}/events", HOUR)
     catalog.create_schema(spark, name, root)
     table = f"`{name}`.`events`"
     catalog.create_table(spark, table, schemas.BRONZE_EVENTS, f"{root}/events", HOUR)
     catalog.sync_partitions(spark, table, "ADD")
+    sinks.remove_paths(spark, [f"{root}/events/date=2024-01-05/hour=07"])  # the catalog still lists it
     catalog.sync_partitions(spark, table, "FULL")
     return spark.table(table).groupBy(*HOUR).agg(F.count(F.lit(1)).alias("events"))
 
@@ -430,7 +447,7 @@ def gold_backfill(spark, sf_dir):
     root = shared_folder(spark, "lake")
     lake = hourly.Lake(f"{root}/cold", f"{root}/hot")
     sinks.overwrite_partitions(testbed.bronze_events(spark, sf_dir), lake.folder("metadata.events"), HOUR,
-                               sinks.EVENT_SORT, _events(spark, sf_dir))
+                               sinks.EVENT_SORT)
     for name, frame in testbed.dimensions(spark, sf_dir).items():
         dims.write_snapshot(frame, lake.folder(f"metadata.{name}"), "2024-01-01", schemas.DIMENSIONS[name])
     hourly.backfill(spark, lake, "2024-01-01", "2024-12-31")

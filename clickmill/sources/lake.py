@@ -42,3 +42,11 @@ def _tolerant(spark: SparkSession, path: str, root: str, contract: T.StructType)
 def partition_values(df: DataFrame, *keys: str) -> list[tuple]:
     """Distinct partition keys in order. Keep it to partition columns: their number is bounded by the hours kept."""
     return [tuple(row) for row in df.select(*keys).distinct().orderBy(*keys).collect()]
+
+
+def partition_folders(spark: SparkSession, root: str, *keys: str) -> list[tuple]:
+    """Partition values in order, from the folder names alone; no file is opened."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root.rstrip("/") + "".join(f"/{key}=*" for key in keys))
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.globStatus(pattern) or []
+    return sorted(tuple(part.split("=", 1)[1] for part in str(f.getPath()).split("/")[-len(keys):]) for f in found)

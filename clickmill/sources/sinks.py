@@ -13,31 +13,22 @@ from clickmill.session import remove_paths
 EVENT_SORT = ("event_type", "platform", "occurred_at")
 
 
-# Below this many rows in total no single partition can be too much for one task.
-ONE_TASK_ROWS = 5_000_000
-
-
-def arrange(df: DataFrame, partition_by: Sequence[str], sort: Sequence[str] = (),
-            rows: int | None = None) -> DataFrame:
+def arrange(df: DataFrame, partition_by: Sequence[str], sort: Sequence[str] = ()) -> DataFrame:
     """Bring each partition's rows together before a partitioned write.
 
-    In general Spark rebalances by real size: a partition that holds much of the data is split over many tasks, small
-    ones share a task. ``rows`` is an upper bound of the row count, if the caller knows one: a small total is hashed
-    by partition instead, so that many tiny partitions are written by all cores.
+    Spark rebalances by real size: a partition that holds much of the data is split over many tasks, small ones share a
+    task. With no columns, for a single partition, the rows are dealt out evenly.
     """
-    if rows is not None and rows <= ONE_TASK_ROWS:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        arranged = df.repartition(tasks, *partition_by)
-    else:
-        arranged = df.hint("rebalance", *partition_by)
+    arranged = df.hint("rebalance", *partition_by)
     return arranged.sortWithinPartitions(*partition_by, *sort) if sort else arranged
 
 
 def overwrite_partitions(df: DataFrame, root: str, partition_by: Sequence[str], sort: Sequence[str] = (),
-                         rows: int | None = None) -> int:
+                         deal_by: Sequence[str] | None = None) -> int:
     """Replace exactly the partitions that occur in ``df``; returns the rows written, counted by the write itself."""
     seen = Observation()
-    counted = arrange(df, partition_by, sort, rows).observe(seen, F.count(F.lit(1)).alias("rows"))
+    arranged = arrange(df, partition_by if deal_by is None else deal_by, sort)
+    counted = arranged.observe(seen, F.count(F.lit(1)).alias("rows"))
     (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(root))
     return seen.get["rows"]
@@ -50,7 +41,7 @@ def replace_partition(df: DataFrame, root: str, spec: dict[str, str], sort: Sequ
     """
     values = [F.lit(value).alias(key) for key, value in spec.items()]
     body = df.select(*[c for c in df.columns if c not in spec], *values)
-    rows = overwrite_partitions(body, root, list(spec), sort)
+    rows = overwrite_partitions(body, root, list(spec), sort, deal_by=())
     if rows == 0:
         leaf = "/".join(f"{key}={value}" for key, value in spec.items())
         remove_paths(df.sparkSession, [f"{root.rstrip('/')}/{leaf}"])

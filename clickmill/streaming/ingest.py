@@ -17,18 +17,19 @@ def start_ingest(messages: DataFrame, hot_root: str, quarantine_root: str, check
     """Decode a stream of messages; good ones go to ``hot_root``, rejected ones to ``quarantine_root``.
 
     Each micro-batch overwrites its own ``batch=`` folders, so a batch that is repeated after a failure leaves the same
-    files: with the checkpointed offsets every message counts once. No state is kept and no late event is dropped: an
-    event lands in the hour of its own time. A replayed topic repeats events under new batches; copies share their
-    hour, and reading through ``dedup`` or archiving the hour keeps one. Without ``every`` the query takes what is
-    there and ends.
+    files: with the checkpointed offsets every message counts once. A batch is named by the id of the query, which the
+    checkpoint stores, and its number: queries with other checkpoints, such as a replay or a second topic, never
+    overwrite each other's batches in the same root. No state is kept and no late event is dropped: an event lands in the
+    hour of its own time. A replay repeats events under new batches; copies share their hour, and reading through
+    ``dedup`` or archiving the hour keeps one. Without ``every`` the query takes what is there and ends.
     """
     def write(batch: DataFrame, number: int) -> None:
         parsed = parse_messages(batch, id_pattern).persist()
         try:
-            rows = parsed.count()
-            stamp = F.lit(number).cast("bigint").alias("batch")
-            overwrite_partitions(good_events(parsed).select("*", stamp), hot_root, HOT_PARTITIONS, rows=rows)
-            overwrite_partitions(quarantined(parsed).select("*", stamp), quarantine_root, ("batch",), rows=rows)
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            stamp = F.lit(f"{query}-{number}").alias("batch")
+            overwrite_partitions(good_events(parsed).select("*", stamp), hot_root, HOT_PARTITIONS)
+            overwrite_partitions(quarantined(parsed).select("*", stamp), quarantine_root, ("batch",))
         finally:
             parsed.unpersist()
 

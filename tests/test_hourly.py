@@ -106,8 +106,44 @@ def test_a_repeated_dimension_key_is_an_error(spark, lake):
     with pytest.raises(ValueError, match="not unique"):
         write_snapshot(twice, lake.folder("metadata.users"), DAY, schemas.USERS, key="user_id")
     write_snapshot(twice, lake.folder("metadata.users"), DAY, schemas.USERS)
-    with pytest.raises(ValueError, match="key repeats"):
+    for run in (lambda: hourly.run_hour(spark, lake, DAY, "10"), lambda: hourly.backfill(spark, lake, DAY, DAY)):
+        with pytest.raises(ValueError, match="key repeats"):
+            run()
+        assert read_table(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS).isEmpty()
+
+
+def test_missing_dimensions_are_an_error_unless_optional(spark, lake):
+    sinks.remove_paths(spark, [lake.folder("metadata.stores")])
+    with pytest.raises(ValueError, match="not loaded"):
         hourly.run_hour(spark, lake, DAY, "10")
+    assert read_table(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS).isEmpty()
+    relaxed = hourly.Lake(lake.root, lake.hot, optional=("stores",))
+    assert hourly.run_hour(spark, relaxed, DAY, "10")["silver"] == 2
+
+
+def test_backfill_joins_each_day_to_its_own_snapshot(spark, lake):
+    renamed = spark.sql("SELECT 1 AS user_id, 'ann' AS username, 'New' AS full_name, 'a@x' AS email, "
+                        "timestamp '2020-01-01' AS created_at")
+    write_snapshot(renamed, lake.folder("metadata.users"), "2024-01-02", schemas.USERS)
+    for date, hour in ((DAY, "10"), (DAY, "11"), ("2024-01-02", "10")):
+        hourly.run_hour(spark, lake, date, hour)
+    before = contents(spark, lake)
+    hourly.backfill(spark, lake, DAY, "2024-01-02")
+    assert contents(spark, lake) == before
+    silver = read_table(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS).where("user_id = 1")
+    assert set(rows_of(silver, "date", "full_name")) == {(DAY, "Ann"), ("2024-01-02", "New")}
+
+
+def test_late_hours_are_pending_again(spark, lake):
+    assert hourly.run_pending(spark, lake, "2024-01-01 12") == [(DAY, "10"), (DAY, "11")]
+    assert hourly.run_pending(spark, lake, "2024-01-01 12") == []
+    ingest(spark, lake, [(4, "2024-01-01 10:40:00")], 1, first_id=50)
+    assert hourly.pending_hours(spark, lake, "2024-01-01 12") == [(DAY, "10")]
+    hourly.run_pending(spark, lake, "2024-01-01 12")
+    after = contents(spark, lake)
+    assert len(after["silver.wide_table_events"]) == 5
+    hourly.backfill(spark, lake, DAY, DAY)
+    assert contents(spark, lake) == after
 
 
 def test_report_from_two_databases(spark, monkeypatch):

@@ -60,14 +60,17 @@ def test_ingest_in_small_batches_replay_and_late_event(spark, tmp_path):
     assert rows_of(table.where("date = '2023-12-31'"), "hour", "event_id") == [("05", "77")]
 
 
-def test_a_repeated_batch_overwrites_itself(spark, tmp_path):
+def test_a_replay_with_a_new_checkpoint_keeps_what_was_there(spark, tmp_path):
     source, hot, bad = (str(tmp_path / n) for n in ("in", "hot", "bad"))
-    land(source, lines_of(events(spark, [(1, "2024-01-01 10:00:00"), (2, "2024-01-01 11:00:00")])), 0)
-    messages = read_message_files(spark, source)
-    # A fresh checkpoint starts again at batch 0: the same batch number with the same content.
-    for attempt in range(2):
-        finish(start_ingest(messages, hot, bad, str(tmp_path / f"offsets{attempt}"), ANY))
-    assert read_table(spark, hot, schemas.HOT_EVENTS).count() == 2
+    land(source, lines_of(events(spark, [(1, "2024-01-01 10:00:00"), (2, "2024-01-01 10:30:00")])), 0)
+    finish(start_ingest(read_message_files(spark, source), hot, bad, str(tmp_path / "offsets0"), ANY))
+    # A cut topic with one other event of the same hour: batch 0 of another query.
+    other = str(tmp_path / "other")
+    land(other, lines_of(events(spark, [(9, "2024-01-01 10:50:00")]).withColumn("event_id", F.lit("90"))) + ["bad"], 0)
+    finish(start_ingest(read_message_files(spark, other), hot, bad, str(tmp_path / "offsets1"), ANY))
+    assert [r[0] for r in rows_of(read_table(spark, hot, schemas.HOT_EVENTS), "event_id")] == ["0", "1", "90"]
+    batches = {row[0] for row in spark.read.parquet(hot).select("batch").distinct().collect()}
+    assert len(batches) == 2 and all(b.endswith("-0") for b in batches)
 
 
 def test_streamed_sessions_and_funnel_equal_the_batch_marts(spark, tmp_path):
