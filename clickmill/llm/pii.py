@@ -282,9 +282,11 @@ def personal_data_digest(docs: DataFrame) -> DataFrame:
 
 def redact(found: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``redacted``: the text with every span replaced by its kind in angle brackets, overlapping ones as one."""
-    rows = F.concat(*[F.transform(F.col(f"base.{k}"), lambda x, k=k: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(k).alias("kind")))
-                      for k in BASE_KINDS], F.transform("added", lambda x: F.struct(
-                          x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
+    def named(kind: Column):
+        return lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), kind.alias("kind"))
+
+    rows = F.concat(*[F.transform(F.col(f"base.{k}"), named(F.lit(k))) for k in BASE_KINDS], F.transform(
+        "added", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
     body = text_of(text)
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
