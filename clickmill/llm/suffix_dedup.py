@@ -41,9 +41,9 @@ GRAM = 24
 SPAN = MATCH - GRAM + 1
 #: Window starts that are hashed at once, and text that a task gathers before it sends anchors.
 BLOCK = 1 << 18
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Text per range of gram hashes and per part of the documents.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 4 << 20
 #: Different contexts of one gram beyond which its windows travel one by one.
 MANY = 4096
 PLACE_BITS = 22
