@@ -32,7 +32,10 @@ def unified_events(cold: DataFrame, hot: DataFrame, keys: Sequence[str] = ("even
 
     Copies of an event share its hour, and an archived hour holds none, so only the hours that are hot are compared. The
     rest of the cold tier passes through: it is neither shuffled nor sorted. Hours in the hot tier are few and bounded.
+    Tables without the columns ``date`` and ``hour`` are compared as a whole.
     """
+    if not {"date", "hour"} <= set(cold.columns) & set(hot.columns):
+        return dedup(cold.unionByName(hot.select(*cold.columns)), keys)
     hours = [f"{date} {hour}" for date, hour in partition_values(hot, "date", "hour")]
     live = F.coalesce(F.concat_ws(" ", "date", "hour").isin(hours), F.lit(False)) if hours else F.lit(False)
     return cold.where(~live).unionByName(dedup(cold.where(live).unionByName(hot.select(*cold.columns)), keys))

@@ -51,12 +51,19 @@ def test_overwrites_touch_only_their_partitions_and_an_empty_one_clears(spark, t
     assert read_table(spark, root, schemas.BRONZE_EVENTS).isEmpty()
 
 
-def test_large_totals_are_rebalanced_and_small_ones_hashed(spark):
+def test_writes_are_rebalanced_by_partition_and_single_partitions_evenly(spark):
     df = spark.range(10).withColumn("date", F.lit("d"))
     plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(sinks.arrange(df, ["date"]))
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan(sinks.arrange(df, ["date"], rows=sinks.ONE_TASK_ROWS + 1))
-    assert "REPARTITION_BY_NUM" in plan(sinks.arrange(df, ["date"], rows=10))
+    assert "REBALANCE_PARTITIONS_BY_NONE" in plan(sinks.arrange(df, []))
+
+
+def test_cold_hours_that_are_not_hot_are_not_shuffled(spark):
+    cold = hot(spark, [(1, "2024-01-01 10:00:00"), (2, "2024-01-01 11:00:00")]).select("event_id", "user_id", "date", "hour")
+    live = cold.where("hour = '11'")
+    both = unified_events(cold, live)
+    assert rows_of(both, "hour") == [("10",), ("11",)]
+    assert unified_events(cold, live.where("false"))._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 1
 
 
 def test_archive_interval_is_half_open_and_the_rest_is_retained(spark):

@@ -18,19 +18,28 @@ def lookup(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("heavy", [1, 3, 1024])
+@pytest.mark.parametrize("heavy", [1, 4, 1024])
 def test_shuffled_join_equals_plain_join(spark, how, heavy):
     fact, dim = skewed(spark), lookup(spark)
     plain = rows_of(fact.join(dim, "key", how))
     assert rows_of(attach(fact, dim, "key", how)) == plain
-    assert rows_of(attach(fact, dim, "key", how, broadcast_bytes=0, heavy_keys=heavy)) == plain
+    assert rows_of(attach(fact, dim, "key", how, broadcast_bytes=0, heavy_parts=heavy)) == plain
+
+
+def test_more_heavy_keys_than_any_fixed_number(spark):
+    """2,000 keys of equal load, all heavy for this many parts."""
+    fact = spark.range(40_000).select((F.col("id") % 2000).alias("key"), "id")
+    dim = spark.range(1900).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
+    joined = attach(fact, dim, "key", broadcast_bytes=0, heavy_parts=1000)
+    row = joined.agg(F.count(F.lit(1)), F.count("twice"), F.sum("twice")).first()
+    assert tuple(row) == (40_000, 38_000, 20 * 1900 * 1899)
 
 
 def test_two_key_columns_and_a_cheaper_frame_to_weigh(spark):
     fact = skewed(spark).withColumn("day", F.when(F.col("payload") % 3 == 0, "a").otherwise("b"))
     dim = lookup(spark).withColumn("day", F.lit("a"))
     plain = rows_of(fact.join(dim, ["key", "day"], "left"), *fact.columns, "name", "price")
-    got = attach(fact, dim, ["key", "day"], broadcast_bytes=0, heavy_keys=2, weigh=fact.select("key", "day"))
+    got = attach(fact, dim, ["key", "day"], broadcast_bytes=0, heavy_parts=2, weigh=fact.select("key", "day"))
     assert rows_of(got, *fact.columns, "name", "price") == plain
 
 
@@ -38,7 +47,7 @@ def test_heavy_and_null_keys_do_not_meet_on_one_task(spark):
     facts = skewed(spark).repartition(6)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = attach(facts, lookup(spark).hint("merge"), "key", broadcast_bytes=0, heavy_keys=1)
+        joined = attach(facts, lookup(spark).hint("merge"), "key", broadcast_bytes=0, heavy_parts=1)
         sizes = [r[0] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
