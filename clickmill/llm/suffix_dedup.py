@@ -41,9 +41,9 @@ GRAM = 24
 SPAN = MATCH - GRAM + 1
 #: Window starts that are hashed at once, and text that a task gathers before it sends anchors.
 BLOCK = 1 << 18
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Text per range of gram hashes and per part of the documents.
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 2 << 20
 #: Different contexts of one gram beyond which its windows travel one by one.
 MANY = 4096
 PLACE_BITS = 22
@@ -405,6 +405,7 @@ def _drop(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents with ``n_bytes``, ``cuts`` (start, end, start, end ... of the removed runs) and ``kept``, the bytes left."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(CHUNK))
     size = total_text_bytes(docs, text)
     parts = ranges = max(1, -(-size // RANGE_BYTES))
     doc = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(-2**63))
