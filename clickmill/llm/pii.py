@@ -3,14 +3,15 @@
 Base spans come from strict patterns with validators (email, ip, card, phone) and always stay. Besides, high-recall generators
 propose spans, which may overlap each other and the base: loose addresses, digit groups, dotted numbers and opaque tokens.
 Gradient-boosted trees score each candidate by the form of its text and by the characters around it; the threshold of
-each generator is calibrated on held-out candidates for precision, and candidates at or above it are selected if they do
-not overlap a base span.
+each generator is calibrated for precision on all candidates of the table, and candidates at or above it are selected if they
+do not overlap a base span.
 
 There is no table of labelled personal data, so labels are weak: a candidate is positive where a base rule accepts exactly
-its span, or where an opaque token is assigned to a name such as token, key or password. The fit takes the candidates of at
-most ``TRAIN_DOCS`` documents, picked by the hash of their id, and ``TRAIN_CANDIDATES`` of them. All other work covers every
-document: candidates are generated, described and scored inside their row by built-in functions, with the trees as one
-expression, so there is no shuffle and no second pass over the texts.
+its span, or where an opaque token is assigned to a name such as token, key or password. Candidates of every document are
+generated and described inside their row by built-in functions and written without the texts. Only the fit is bounded: of
+each generator and label it takes the candidates of least hash, ``TRAIN_CANDIDATES`` in all, so a kind that is rare in a
+large table is fitted as in a small one. The calibration counts all candidates by generator, score and label, those of the
+fit included. A second pass over the texts scores every candidate, with the trees as one expression and without a shuffle.
 
 Defined cases: a null text is empty and has no spans; an empty table gives an empty result; repeated rows are treated one by
 one; without candidates of both labels nothing is added; other columns pass through (a column called ``base`` or ``added``
@@ -20,6 +21,7 @@ is replaced). Positions are code points, the end exclusive.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -51,7 +53,6 @@ GENERATORS = {
 ASSIGNED = r"(?i)(?:token|key|secret|password|passwd|auth|credential)[\"']?\s*[=:]\s*[\"']?$"
 AROUND = 24
 
-TRAIN_DOCS = 4_000
 TRAIN_CANDIDATES = 20_000
 TREES, DEPTH = 12, 3
 PRECISION = 0.98
@@ -208,24 +209,41 @@ def _tree(node):
     return split.featureIndex(), split.threshold(), _tree(node.leftChild()), _tree(node.rightChild())
 
 
+def described(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """A row per candidate of all documents: generator, features, label and the hash that orders candidates."""
+    return (docs.select(F.xxhash64(F.col(f"`{doc_id}`"), text_of(text)).alias("row"), text_of(text).alias("t"))
+            .withColumn("base", base_spans(F.col("t"))).select(
+                # explode proper would make Spark test the array's size first and compute it again for that
+                "row", F.explode_outer(candidates(F.col("t"), F.col("base"))).alias("c")).where("c IS NOT NULL")
+            .select("c.generator", "c.x.*", "c.label", F.xxhash64("row", "c.start", "c.generator").alias("order")))
+
+
+def fit_sample(rows: DataFrame, sizes: dict[tuple[str, float], int]) -> DataFrame:
+    """The candidates of least hash of each generator and label; ``sizes`` counts them all."""
+    most = TRAIN_CANDIDATES // (2 * len(GENERATORS))
+    parts = []
+    for (generator, label), n in sorted(sizes.items()):
+        mine = rows.where((F.col("generator") == generator) & (F.col("label") == label))
+        if n > 4 * most:  # hashes are even, so about twice as many as needed lie below
+            near = mine.where(F.col("order") < F.lit(-2**63 + 2**65 * most // n))
+            mine = near if near.count() >= most else mine
+        parts.append(mine.orderBy("order").limit(most))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def fit_selector(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Selector | None:
-    """Fits on a bounded sample; None where it lacks candidates of both labels."""
-    total = docs.count()
-    pick = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.lit("pii")), F.lit(1_000_000))
-    share = min(1_000_000, max(1, TRAIN_DOCS * 1_000_000 // max(1, total)))
-    rows = (docs.where(pick < share).select(F.col(f"`{doc_id}`").alias("id"), text_of(text).alias("t"))
-            .withColumn("base", base_spans(F.col("t"))).select("id", F.explode(candidates(F.col("t"), F.col("base"))).alias("c"))
-            .select("c.generator", "c.x.*", "c.label", F.xxhash64("id", "c.start", "c.generator").alias("order"))
-            .orderBy("order").limit(TRAIN_CANDIDATES))
-    rows = materialize(rows, "pii-sample").withColumn("held", F.pmod("order", F.lit(4)) == 0)
-    train = rows.where(~F.col("held"))
-    if train.select("label").distinct().count() < 2:
+    """Fits on a bounded sample and calibrates on all candidates; None where the table lacks candidates of both labels."""
+    rows = materialize(described(docs, text, doc_id), "pii-candidates")
+    sizes = {(r["generator"], r["label"]): r["n"]
+             for r in rows.groupBy("generator", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len({label for _, label in sizes}) < 2:
         return None
+    train = materialize(fit_sample(rows, sizes).orderBy("order"), "pii-sample")
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(train)
     model = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(assembled)
     trees = [(w, _tree(t._java_obj.rootNode())) for w, t in zip(model.treeWeights, model.trees)]
     selector = Selector(trees, {})
-    scored = rows.where("held").select("generator", "label", F.floor(
+    scored = rows.select("generator", "label", F.floor(
         selector.score(F.struct(*[F.col(f) for f in FEATURES])) * 100).cast("int").alias("bin"))
     table = scored.groupBy("generator", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits")).collect()
     for g in GENERATORS:  # at most 101 rows per generator

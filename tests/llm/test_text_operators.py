@@ -106,6 +106,19 @@ def test_trees_add_secrets_and_redaction_covers_all(spark_):
     assert "<secret>" in line and "<email>" in line and "a7@b.co" not in line
 
 
+def test_rare_secrets_are_found_among_many_documents(spark_):
+    r = random.Random(4)
+    token = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
+    rare = [(i * 1000, f'{prose(r, 5)} token = "{token()}" end') for i in range(6)]
+    plain = [(i, f"order {token()}x and part{i:016d}z {prose(r, 3)}") for i in range(6000) if i % 1000]
+    added = {}
+    for rows in ([*rare, *plain[:100]], [*rare, *plain]):
+        found = pii.find_personal_data(make(spark_, rows)).where(F.size("added") > 0).collect()
+        added[len(rows)] = {x.doc_id: [(a.kind, a.start, a.end) for a in x.added] for x in found}
+    few, many = added.values()
+    assert set(many) == {i for i, _ in rare} and few == many
+
+
 def test_quality_model(spark_):
     r = random.Random(1)
     good = [(i, prose(r, 80)) for i in range(300)]
