@@ -209,6 +209,15 @@ def test_line_windows(spark_):
     assert line_dedup.line_digest(make(spark_, rows).limit(0)).count() == 0
 
 
+def test_lines_of_null_and_repeated_ids(spark_):
+    lines = lambda name, n=8: "\n".join(f"{name} {i}" for i in range(n))
+    rows = [(None, lines("a") + "\n" + lines("a", 4)), (None, lines("b", 14)), (4, lines("c", 14)), (4, "x\n" + lines("d") + "\n" + lines("d", 4)),
+            (5, "new\n" + lines("c", 5)), (5, lines("e"))]
+    out = {(r.doc_id, r.text.split("\n")[-1]): r.removed_lines for r in line_dedup.dedup_lines(make(spark_, rows)).collect()}
+    assert out == {(None, "a 7"): [8, 9, 10, 11], (None, "b 13"): [], (4, "c 13"): [], (4, "d 7"): [9, 10, 11, 12],
+                   (5, "new"): [1, 2, 3, 4, 5], (5, "e 7"): []}
+
+
 def plain_print(text):
     w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
     if not w:
