@@ -62,14 +62,15 @@ def item_tables(items: DataFrame, key: str = "item_id", text: str = "text") -> t
     return full, sketch.select("hash", "item_id"), sketch.groupBy("part").agg(F.max("hash").alias("bound"))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """(doc_id, item_id, n_shared, n_shingles, containment) of every item found in a document."""
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text: str = "text",
+                 key: str = "doc_id") -> DataFrame:
+    """(doc_id, item_id, n_shared, n_shingles, containment) of every item found in a document; ``key`` tells documents apart."""
     full, sketch, parts = item_tables(items)
     # one number per power of two of the item size; the widest share of a document's hashes covers all partitions
     bound = parts.agg(F.max("bound").alias("b")).first()["b"]
     if bound is None:
         bound = -2**63
-    rows = _rows(docs, "doc_id", text)
+    rows = _rows(docs, key, text).withColumnRenamed(key, "doc_id")
     minima = (rows.select("doc_id", F.explode(shingle_hashes(F.col("words"))).alias("hash"))
               .where(F.col("hash") <= F.lit(bound)))
     candidates = materialize(minima.join(sketch, "hash").select("doc_id", "item_id").distinct(), "candidates")
@@ -82,6 +83,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
                         (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that hold no item. A document without an id cannot be matched and stays."""
-    return docs.join(contaminated(docs, items, threshold).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id") -> DataFrame:
+    """The documents that hold no item. A document whose ``key`` is null cannot be matched and stays."""
+    found = contaminated(docs, items, threshold, key=key).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(found, key, "left_anti").select(*docs.columns)

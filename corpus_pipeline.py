@@ -1,8 +1,8 @@
 """Stages that clean and tokenise ``documents``: quality rules, line dedup, near-dedup, decontamination, tokens.
 
 Each stage takes what the one before has kept and writes its result to the shared folder. Defined cases are those of the
-operators; a null doc_id passes through every stage, except that near-dedup keeps one of a group of null ids only where the
-group has no other id.
+operators, but from near-dedup on a document is what is equal in id and text: null and repeated ids are judged row by row, by
+a key of id and text. Rows equal in both become one.
 """
 
 from __future__ import annotations
@@ -19,6 +19,14 @@ from clickmill.llm.registry import RANKS
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The documents with ``__row``, a key of id and text that is never null; its least is the least id, null ids last."""
+    body = F.coalesce("text", F.lit(""))
+    return docs.withColumn("__row", F.struct(
+        F.col("doc_id").isNull().alias("missing"), F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("id"),
+        F.xxhash64(body).alias("h1"), F.xxhash64(F.lit("second"), body).alias("h2")))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the default policy of the quality rules, judged by the stored ledger.
 
@@ -38,16 +46,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group, the one of the least id; repeated rows of it become one."""
-    groups = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(groups, F.col("doc_id").eqNullSafe(F.col("__id"))).select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each SimHash group, the one of the least key; repeated rows of it become one."""
+    rows = keyed(docs)
+    least = simhash.near_duplicates(rows, doc_id="__row").where(F.col("doc_id") == F.col("component_id")).select(
+        F.col("doc_id").alias("__row")).distinct()
+    return rows.join(least, "__row").dropDuplicates(["__row"]).select(*docs.columns)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    """Documents that hold no benchmark item, with or without an id."""
+    items = read_table(spark, sf_dir, "benchmark")
+    return decontaminate.decontaminate(keyed(docs), items, key="__row").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -381,3 +381,18 @@ def test_pipeline_stages(spark_, tmp_path):
     spark_.createDataFrame([], schema).write.parquet(f"{empty}/documents.parquet")
     spark_.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
     assert corpus_pipeline.run(spark_, str(empty)).count() == 0
+
+
+def test_pipeline_stages_with_null_and_repeated_ids(spark_, tmp_path):
+    r = random.Random(2)
+    text = lambda n: " ".join("".join(r.choice("abcdefghx") for _ in range(6)) for _ in range(n))
+    item = " ".join(f"item{i}q" for i in range(30))
+    own, twin, held = [text(80) for _ in range(6)], text(300), text(60) + " " + item
+    rows = [*[(None, t) for t in own[:3]], (None, own[0]), (7, own[3]), (7, own[4]), (7, own[4]), (9, own[5]), (None, own[5]),
+            (3, twin), (9, twin + " end"), (None, held), (8, text(70) + " " + item), (8, text(80))]
+    docs = make(spark_, rows)
+    kept = Counter((x.doc_id, x.text) for x in corpus_pipeline.near_copies(spark_, docs, "").collect())
+    assert kept == Counter({*[(None, t) for t in own[:3]], (7, own[3]), (7, own[4]), (9, own[5]), (3, twin), *rows[11:]})
+    spark_.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = Counter((x.doc_id, x.text) for x in corpus_pipeline.benchmark_free(spark_, docs, str(tmp_path)).collect())
+    assert left == Counter([*rows[:11], rows[13]])
