@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.llm import (
-    bpe, decontaminate, line_dedup, pii, preferences, quality_model, quality_rules, shards, simhash, suffix_dedup)
+    bpe, decontaminate, line_dedup, manifest, pii, preferences, quality_model, quality_rules, shards, simhash, suffix_dedup,
+    token_counts, vector_codes)
 from clickmill.llm.common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -203,3 +205,122 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 50-byte strings that start in an earlier document."""
     return suffix_dedup.suffix_digest(read_table(spark, sf_dir, "documents"))
+
+
+def _nearest(name: str, codebook: str) -> str:
+    """Nearest entry, the least of equally near ones, and its distance, per vector and part."""
+    return f"""{name} AS (
+  SELECT rn, part, min(d * 256 + entry) & 255 AS entry, min(d) AS d
+  FROM (SELECT rn, part, entry, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM x JOIN {codebook} USING (part, pos)
+        GROUP BY rn, part, entry)
+  GROUP BY rn, part)"""
+
+
+def _means(name: str, codebook: str, nearest: str) -> str:
+    return f"""{name} AS (
+  SELECT o.part, o.entry, o.pos, coalesce(n.c, o.c) AS c FROM {codebook} o LEFT JOIN (
+    SELECT part, entry, pos, CAST(floor(sum(x) / count(*)) AS BIGINT) AS c FROM x JOIN {nearest} USING (rn, part)
+    GROUP BY part, entry, pos) n USING (part, entry, pos))"""
+
+
+@register("op11_value_dictionaries", f"""
+WITH k AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS rn, len(embedding) // 16 AS width,
+    list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+x AS (
+  SELECT rn, i // width AS part, i % width AS pos, v[i + 1] AS x
+  FROM (SELECT rn, width, v, unnest(range(0, len(v))) AS i FROM k)),
+c0 AS (
+  SELECT part, rn - 1 AS entry, pos, x AS c FROM x WHERE rn <= 64),
+{_nearest("a0", "c0")},
+{_means("c1", "c0", "a0")},
+{_nearest("a1", "c1")},
+{_means("c2", "c1", "a1")},
+{_nearest("a2", "c2")},
+e AS (
+  SELECT rn, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY rn)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM c2) AS codebooks_sha256
+FROM k JOIN e USING (rn)
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding as sixteen bytes."""
+    return vector_codes.code_digest(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_prefix_counts")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document, read off the counts of its prefixes."""
+    return token_counts.token_count_digest(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _tree(name: str, nodes: str) -> str:
+    """All levels of the trees over ``nodes`` (tree, pos, n, h)."""
+    return f"""{name} AS (
+  SELECT 0 AS level, tree, pos, n, h FROM {nodes}
+  UNION ALL
+  SELECT level + 1, tree, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1
+  GROUP BY level, tree, pos // 2, (n + 1) // 2)"""
+
+
+@register("op13_merkle_superblocks", f"""
+WITH RECURSIVE t AS (
+  SELECT b, 0 AS k, CAST(b AS BIGINT) AS v FROM range(0, 256) r(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM t WHERE k < 8),
+crc AS (
+  SELECT list(v ORDER BY b) AS tab FROM t WHERE k = 8),
+d AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS tree, {_leaf("n_chars")} AS leaf, {_leaf("(n_chars + 1)")} AS changed,
+    xor(list_reduce(list_transform(range(0, strlen(CAST(doc_id AS VARCHAR))),
+      lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i + 1, 1)) AS BIGINT)),
+      lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS checksum
+  FROM documents, crc),
+leaves AS (
+  SELECT doc_id, tree, leaf AS h, CASE WHEN checksum % 7 = 0 THEN changed ELSE leaf END AS claimed,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM d),
+{_tree("nodes", "leaves")},
+tops AS (
+  SELECT tree AS lang, level AS depth, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+top_leaves AS (
+  SELECT 0 AS tree, pos, n, subroot AS h FROM tops),
+{_tree("top_nodes", "top_leaves")},
+paths AS (
+  SELECT l.tree, l.pos, c.level AS step, s.h AS sibling, s.pos < (l.pos >> c.level) AS is_left
+  FROM leaves l JOIN (SELECT DISTINCT tree, level FROM nodes WHERE n > 1) c USING (tree)
+  LEFT JOIN nodes s ON s.tree = l.tree AND s.level = c.level AND s.pos = xor(l.pos >> c.level, 1)),
+top_paths AS (
+  SELECT l.lang AS tree, l.depth + c.level AS step, s.h AS sibling, s.pos < (l.pos >> c.level) AS is_left
+  FROM tops l, (SELECT DISTINCT level FROM top_nodes WHERE n > 1) c
+  LEFT JOIN top_nodes s ON s.level = c.level AND s.pos = xor(l.pos >> c.level, 1)),
+steps AS (
+  SELECT tree, pos, step, sibling, is_left FROM paths
+  UNION ALL SELECT l.tree, l.pos, p.step, p.sibling, p.is_left FROM leaves l JOIN top_paths p USING (tree)),
+folds AS (
+  SELECT tree, pos, 0 AS step, claimed AS h FROM leaves
+  UNION ALL
+  SELECT f.tree, f.pos, f.step + 1,
+    sha256(CASE WHEN s.sibling IS NULL THEN f.h WHEN s.is_left THEN s.sibling || f.h ELSE f.h || s.sibling END)
+  FROM folds f JOIN steps s ON s.tree = f.tree AND s.pos = f.pos AND s.step = f.step),
+folded AS (
+  SELECT tree, pos, max_by(h, step) AS folded_root FROM folds GROUP BY tree, pos),
+proofs AS (
+  SELECT tree, pos, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM steps GROUP BY tree, pos),
+root AS (
+  SELECT h AS root FROM top_nodes WHERE n = 1)
+SELECT l.doc_id, l.h AS leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+  folded_root = root AS verified
+FROM leaves l JOIN tops ON tops.lang = l.tree JOIN folded f ON f.tree = l.tree AND f.pos = l.pos
+LEFT JOIN proofs p ON p.tree = l.tree AND p.pos = l.pos, root
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, with a proof for each."""
+    return manifest.manifest_digest(read_table(spark, sf_dir, "documents"))
