@@ -9,8 +9,8 @@ step merges in every pretoken the leftmost pair of the lowest rank, and ranks co
 other and against the public library), but each of its steps is interpreted, at about a hundred times the cost, which is
 beyond the CPU budget of a whole corpus; figures are in the README. ``encode(..., engine="functions")`` uses it.
 
-The numbering starts anew when a task has met ``MAX_PRETOKENS`` of them, so memory is bounded for any input; results do
-not depend on it. Pretokens longer than ``LONG_BYTES`` bytes, for which a fold over arrays would take quadratic time, are
+The numbering starts anew when a task has met ``MAX_PRETOKENS`` of them or ``MAX_PRETOKEN_CHARS`` of their characters, so memory
+is bounded for any input; results do not depend on it. Pretokens longer than ``LONG_BYTES`` bytes, for which a fold over arrays would take quadratic time, are
 merged with a heap, by the same rule. A lost executor repeats its tasks; nothing is kept between tasks.
 
 Decoding looks up the bytes of each id and concatenates them.
@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_PRETOKENS = 200_000
+MAX_PRETOKEN_CHARS = 8 << 20
+BATCH_BYTES = 2 << 20
 LONG_BYTES = 400
 #: Buckets of the literal map; a look-up scans one bucket.
 BUCKETS = 65_536
@@ -116,11 +118,11 @@ def merge_fold(pretoken: Column, table: Column, byte_ids: Column) -> Column:
     def merge(state: Column, pick: Column) -> Column:
         """``pick``: the lowest rank and the one-based place of the left part of its pair."""
         parts, ranks, best, at = state["ids"], state["ranks"], pick["best"], pick["at"]
-        merged = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(best), F.slice(parts, at + 2, F.lit(LONG_BYTES)))
+        merged = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(best), F.slice(parts, at + 2, F.size(parts)))
         before = F.when(at > 1, F.array(rank(F.get(parts, at - 2), best))).otherwise(none)
         after = F.when(at < F.size(ranks), F.array(rank(best, F.get(parts, at + 1)))).otherwise(none)
         around = F.concat(F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after,
-                          F.slice(ranks, at + 2, F.lit(LONG_BYTES)))
+                          F.slice(ranks, at + 2, F.size(ranks)))
         return F.struct(merged.alias("ids"), around.alias("ranks"))
 
     def bound(value: Column, use) -> Column:
@@ -265,29 +267,40 @@ def _gather(refs: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> bytes:
     return ids[take].astype("<u4").tobytes()
 
 
-def _encoder(pieces: list[bytes]):
+@lru_cache(maxsize=1)
+def _tables(pieces: tuple[bytes, ...]) -> tuple[dict[bytes, int], PairTable, np.ndarray]:
+    """Look-up tables of a vocabulary, made once per worker process."""
+    by_bytes = {piece: i for i, piece in enumerate(pieces)}
+    return by_bytes, PairTable(pair_ranks(list(pieces))), np.array([by_bytes[bytes([b])] for b in range(256)], np.int32)
+
+
+def _encoder(pieces: tuple[bytes, ...]):
     """The whole encoding as a function over the texts of a task."""
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        by_bytes = {piece: i for i, piece in enumerate(pieces)}
-        table = PairTable(pair_ranks(pieces))
-        byte_ids = np.array([by_bytes[bytes([b])] for b in range(256)], np.int32)
-        seen, ids, starts = _Numbers(), np.zeros(0, np.int32), np.zeros(1, np.int64)
+    def run(batches: Iterator[pd.Series]) -> Iterator[list[bytes]]:
+        by_bytes, table, byte_ids = _tables(pieces)
+        seen, ids, starts, chars = _Numbers(), np.zeros(0, np.int32), np.zeros(1, np.int64), 0
         for batch in batches:
-            if len(seen) > MAX_PRETOKENS:
-                seen, ids, starts = _Numbers(), np.zeros(0, np.int32), np.zeros(1, np.int64)
+            if len(seen) > MAX_PRETOKENS or chars > MAX_PRETOKEN_CHARS:
+                seen, ids, starts, chars = _Numbers(), np.zeros(0, np.int32), np.zeros(1, np.int64), 0
             known = len(seen)
             refs = [np.array(list(map(seen.__getitem__, pretokens(text))), np.int32) for text in batch]
             new = [w.encode() for w in islice(seen, known, None)]
+            chars += sum(map(len, new))
             parts = fold_matrix([w if len(w) <= LONG_BYTES else b"" for w in new], byte_ids, table)
             for k, w in enumerate(new):
                 if len(w) > LONG_BYTES:
                     parts[k] = np.array(merge_long(w, by_bytes), np.int32)
             sizes = np.fromiter(map(len, parts), np.int64, len(parts))
             ids, starts = np.concatenate([ids, *parts]), np.concatenate([starts, starts[-1] + np.cumsum(sizes)])
-            yield pd.Series([_gather(r, starts, ids) for r in refs])
+            yield [_gather(r, starts, ids) for r in refs]
     return run
 
 
+def _spell(pieces: tuple[bytes, ...], ids: bytes | None) -> bytes:
+    """The bytes of packed ids."""
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 def _encode_by_functions(docs: DataFrame, path: str, text: str) -> DataFrame:
     """The fold in higher-order functions, per document over its distinct pretokens."""
     @F.pandas_udf("struct<words:array<string>,refs:array<int>>")
@@ -313,11 +326,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", engine: str = "arrays
     if engine == "functions":
         done = _encode_by_functions(docs, path, text)
     else:
-        run = _encoder(load_ranks(path))
+        run = _encoder(tuple(load_ranks(path)))
 
         @F.pandas_udf("binary")
         def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            yield from run(batches)
+            for ids in run(batches):
+                yield pd.Series(ids)
 
         done = docs.withColumn("ids", ids_of(F.coalesce(F.col(text).cast("string"), F.lit(""))))
     return done.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))
@@ -325,18 +339,34 @@ def encode(docs: DataFrame, path: str, text: str = "text", engine: str = "arrays
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Adds ``decoded``, the bytes of the ids' pieces one after the other; null ids decode to no bytes."""
-    pieces = load_ranks(path)
+    pieces = tuple(load_ranks(path))
 
     @F.pandas_udf("binary")
     def join(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([b"".join(map(pieces.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in batch])
+            yield pd.Series([_spell(pieces, ids) for ids in batch])
 
     return encoded.withColumn("decoded", join(F.col(ids)))
 
 
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Adds ``ids``, ``n_tokens`` and ``decoded`` in one pass, with one Python process a core instead of two."""
+    pieces = tuple(load_ranks(path))
+    run = _encoder(pieces)
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for ids in run(batches):
+            yield pd.DataFrame({"ids": ids, "decoded": [_spell(pieces, packed) for packed in ids]})
+
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    done = docs.withColumn("__both", both(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return done.withColumns({"ids": F.col("__both.ids"), "decoded": F.col("__both.decoded")}).drop("__both").withColumn(
+        "n_tokens", (F.octet_length("ids") / 4).cast("bigint"))
+
+
 def token_digest(docs: DataFrame, path: str) -> DataFrame:
     """Per document: token count, hash of the ids and hash of the decoded bytes."""
-    both = decode(encode(docs.select("doc_id", "text"), path).select("doc_id", "n_tokens", "ids"), path)
+    both = encode_and_decode(docs.select("doc_id", "text"), path)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -118,10 +118,10 @@ def block_anchors(data: np.ndarray, ends: np.ndarray, prefixes: Prefixes) -> tup
     return h[place] >> U64(16), mix(context ^ (shape * A)) >> U64(16), first, last, place
 
 
-#: Fields of an anchor and their bytes.
-ANCHOR = {"gram": 6, "context": 6, "doc": 8, "tag": 2, "start": 5, "span": 1, "left": 1}
-WINDOWS = {"doc": 8, "tag": 2, "start": 5, "count": 2}
-REQUEST = {"gram": 6, "doc": 8, "tag": 2, "start": 5, "span": 1, "left": 1, "many": 1}
+#: Fields of an anchor and their bytes. ``doc`` orders sources; a row is the pair of ``doc`` and ``tag``, a hash of its text.
+ANCHOR = {"gram": 6, "context": 6, "doc": 8, "tag": 8, "start": 5, "span": 1, "left": 1}
+WINDOWS = {"doc": 8, "tag": 8, "start": 5, "count": 2}
+REQUEST = {"gram": 6, "doc": 8, "tag": 8, "start": 5, "span": 1, "left": 1, "many": 1}
 
 
 def pack(rows: dict[str, np.ndarray], fields: dict[str, int], take: np.ndarray | slice = slice(None)) -> bytes:
@@ -147,7 +147,7 @@ def unpack(blobs: list[bytes], fields: dict[str, int]) -> dict[str, np.ndarray]:
 
 
 def spark_hash(ids: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of a bigint column, so that tasks can name the part of a document."""
+    """Spark's xxhash64 of a bigint column, so that tasks can name the part of a row."""
     p1, p2, p3 = U64(0x9E3779B185EBCA87), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)
     p4, p5 = U64(0x85EBCA77C2B2AE63), U64(0x27D4EB2F165667C5)
     turn = lambda x, r: (x << U64(r)) | (x >> U64(64 - r))
@@ -163,7 +163,7 @@ def _by_part(rows: dict[str, np.ndarray], fields: dict[str, int], parts: int, ki
     """Rows packed per document part."""
     if not len(rows["doc"]):
         return []
-    part = np.mod(spark_hash(rows["doc"]), parts)
+    part = np.mod(spark_hash(rows["doc"] ^ rows["tag"]), parts)
     order = np.argsort(part, kind="stable")
     edges = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0, True])
     return [(int(part[order[low]]), kind, pack(rows, fields, order[low:high])) for low, high in zip(edges[:-1], edges[1:])]
@@ -411,13 +411,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     doc = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(-2**63))
     repeated = docs.groupBy(doc.alias("doc")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0
     body = text_of(text)
-    # rows of one id are told apart by their text, only if there are any
-    tag: Column = F.crc32(F.encode(body, "UTF-8")).bitwiseAND(F.lit(0xFFFF).cast("bigint")) if repeated else F.lit(0).cast("bigint")
+    # Rows of one id are told apart by a hash of their text, if there are any; equal rows share it and lose the same bytes.
+    tag: Column = F.xxhash64(body) if repeated else F.lit(0).cast("bigint")
+    part = F.pmod(F.xxhash64(F.col("doc").bitwiseXOR(F.col("tag"))), F.lit(parts).cast("bigint"))
     names = [c for c in docs.columns if c not in ("n_bytes", "cuts", "kept")]
     keyed = docs.select(doc.alias("doc"), tag.alias("tag"), body.alias("text"),
                         F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("row"))
     texts = keyed.select("doc", "tag", "text")
-    placed = texts.withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(parts).cast("bigint")))
+    placed = texts.withColumn("part", part)
 
     sent = texts.mapInPandas(_send_anchors(ranges, parts), PACKED)
     meet, passed = _meet(parts), SETTLED
@@ -433,7 +434,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
                 .applyInPandas(_send_contexts(ranges, parts), PACKED))
     second = materialize(contexts.groupBy("part").applyInPandas(_compare(parts), PACKED), "suffix-compared")
     found = first.where(F.col("kind") == SETTLED).unionByName(second)
-    whole = keyed.withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(parts).cast("bigint")))
+    whole = keyed.withColumn("part", part)
     row_type = keyed.schema["row"].dataType.simpleString()
     done = whole.groupBy("part").cogroup(found.groupBy("part")).applyInPandas(
         _drop, f"row {row_type}, n_bytes bigint, cuts array<bigint>, kept binary")

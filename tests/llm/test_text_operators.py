@@ -169,6 +169,21 @@ def test_byte_bpe_equals_the_public_library(spark_, monkeypatch):
     by_functions = {r.doc_id: bytes(r.ids) for r in bpe.encode(short, RANKS, engine="functions").collect()}
     assert by_functions and all(bytes(got[i].ids) == ids for i, ids in by_functions.items())
     assert bpe.token_digest(docs.limit(0), RANKS).count() == 0
+    for r in bpe.encode_and_decode(docs, RANKS).collect():
+        assert (r.ids, r.n_tokens, r.decoded, r.key) == (got[r.doc_id].ids, got[r.doc_id].n_tokens, got[r.doc_id].decoded, "k")
+
+
+@pytest.mark.parametrize("size", [401, 1000, 20_000])
+def test_long_pretokens_on_both_engines(spark_, size):
+    r = random.Random(size)
+    texts = ["".join(r.choice("abcdefgh") for _ in range(size)), "ab " + "日" * (size // 3 + 1) + " c"]
+    docs = make(spark_, list(enumerate(texts[:1 if size > 5000 else 2])))
+    for engine in ("arrays", "functions"):
+        done = bpe.decode(bpe.encode(docs, RANKS, engine=engine), RANKS).select("ids", "text", "decoded").collect()
+        assert all(bytes(x.decoded).decode() == x.text for x in done)
+        if engine == "arrays":
+            want = {x.text: x.ids for x in done}
+        assert {x.text: x.ids for x in done} == want
 
 
 def test_histogram_shards(spark_, monkeypatch):
@@ -345,6 +360,14 @@ def test_suffix_dedup(spark_, monkeypatch, seed, many, small):
     assert suffix_dedup.suffix_digest(make(spark_, rows).limit(0)).count() == 0
 
 
+def test_suffix_dedup_tells_many_rows_of_one_id_apart(spark_):
+    r = random.Random(4)
+    passage = ["".join(r.choice("abcdefghij ") for _ in range(90)) for _ in range(30)]
+    rows = [(5 if k % 3 else None, r.choice(passage)[:r.randrange(20, 90)] + str(k) + r.choice(passage)) for k in range(2000)]
+    rows += [(9, x) for x in passage] + rows[:5]
+    assert Counter(tuple(x) for x in suffix_dedup.suffix_digest(make(spark_, rows)).collect()) == plain_cut(rows)
+
+
 def test_deep_shallow_sort():
     common = lambda a, b: next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
     for seed in range(60):
