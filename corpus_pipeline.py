@@ -61,7 +61,7 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, checked by decoding them: ``round_trip`` tells whether the text came back."""
-    encoded = bpe.decode(bpe.encode(docs, RANKS), RANKS)
+    encoded = bpe.encode_and_decode(docs, RANKS)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return encoded.withColumn("round_trip", same).drop("decoded")
 
