@@ -24,16 +24,20 @@ class Size(NamedTuple):
     widest: int  # bytes of the largest row
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Text length plus 16 bytes per cell."""
+    cells = [
+        F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 16 if dtype == "string" else F.lit(16)
+        for name, dtype in df.dtypes
+    ]
+    return reduce(lambda a, b: a + b, cells).cast("bigint")
+
+
 def measure(frames: Sequence[DataFrame]) -> list[Size]:
-    """Size of each frame from its own values: text length plus 16 bytes per cell. One job, map-side summed."""
+    """Size of each frame from its own values. One job, map-side summed."""
     sums = []
     for position, df in enumerate(frames):
-        cells = [
-            F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 16 if dtype == "string" else F.lit(16)
-            for name, dtype in df.dtypes
-        ]
-        width = reduce(lambda a, b: a + b, cells).cast("bigint")
-        sums.append(df.select(width.alias("width")).agg(
+        sums.append(df.select(row_bytes(df).alias("width")).agg(
             F.lit(position).alias("position"), F.count("width").alias("rows"),
             F.coalesce(F.sum("width"), F.lit(0)).alias("bytes"), F.coalesce(F.max("width"), F.lit(0)).alias("widest")))
     rows = reduce(DataFrame.unionByName, sums).collect()  # one row per frame

@@ -1,4 +1,4 @@
-"""Exact row numbers and n-tiles over groups of any size."""
+"""Exact row numbers over groups of any size."""
 
 from __future__ import annotations
 
@@ -45,16 +45,3 @@ def number_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (),
                   F.col("__part") == F.col("__run_part"))
     return placed.join(broadcast_if_small(runs), same, "inner").select(
         *df.columns, (F.col("__before") + F.col("__idx") - F.col("__first") + 1).alias("__rn"), "__rows")
-
-
-def ntile(df: DataFrame, k: int, order: Sequence[Column], name: str, by: Sequence[str] = (),
-          partitions: int | None = None) -> DataFrame:
-    """Exact ``ntile(k)`` per group as column ``name`` for groups too large for one task."""
-    numbered = number_rows(df, order, by, partitions)
-    # With N rows the first N mod k tiles hold one row more than the rest.
-    small = f"(__rows div {k})"
-    wide = f"(__rows % {k})"
-    in_wide = F.expr(f"(__rn - 1) div ({small} + 1) + 1")
-    in_rest = F.expr(f"{wide} + (__rn - 1 - {wide} * ({small} + 1)) div greatest({small}, 1) + 1")
-    tile = F.when(F.expr(f"__rn <= {wide} * ({small} + 1)"), in_wide).otherwise(in_rest)
-    return numbered.select(*df.columns, tile.cast("int").alias(name))

@@ -4,25 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.operators.ranking import ntile
+from clickmill.operators.cuts import MOST_ROWS, sort_tie, sort_value, tiles
 from clickmill.schemas import PURCHASE
+from clickmill.session import materialize
 
 # The minutes shown for a user without a purchase, and the labels below.
 NO_PURCHASE_MINUTES = 9999
 TILES = 5
-# Users that one task may rank with the built-in window; larger groups are ranked by range partitions.
-WINDOW_USERS = 1_000_000
 
-# Order of each score; the user id makes every order total, so ties split the same way on every run.
-# Whoever bought nothing comes before the oldest purchase, however long the grain.
-SCORE_ORDERS = {
-    "r_score": lambda: [(F.col("frequency_value") > 0).asc(), F.col("recency_value").desc()],
-    "f_score": lambda: [F.col("frequency_value").asc()],
-    "m_score": lambda: [F.col("monetary_value").asc_nulls_first()],
-}
+
+def score_orders() -> dict[str, tuple[Column, Column]]:
+    """Value and tie-breaker of each score; the user id makes every order total, so ties split the same way on every run.
+
+    Whoever bought nothing comes before the oldest purchase, however long the grain.
+    """
+    tie = sort_tie(F.col("customer_id"))
+    bought = F.col("frequency_value") > 0
+    return {"r_score": (F.when(bought, -F.col("recency_value").cast("double")).otherwise(F.lit(-1e18)), tie),
+            "f_score": (F.col("frequency_value"), tie),
+            "m_score": (sort_value(F.col("monetary_value")), tie)}
 
 
 def _period_end(grain: Sequence[str], as_of: str | None, silver: DataFrame) -> Column:
@@ -55,28 +58,15 @@ def rfm_metrics(silver: DataFrame, grain: Sequence[str] = ("date", "hour"), as_o
         F.col("frequency_value").cast("int").alias("frequency_value"), "monetary_value", *grain)
 
 
-def score(metrics: DataFrame, grain: Sequence[str], in_one_task: bool) -> DataFrame:
-    tie = F.col("customer_id").asc_nulls_first()
-    scored = metrics
-    for name, order in SCORE_ORDERS.items():
-        if in_one_task:
-            window = Window.partitionBy(*grain).orderBy(*order(), tie)
-            scored = scored.withColumn(name, F.ntile(TILES).over(window))
-        else:
-            scored = ntile(scored, TILES, [*order(), tie], name, by=grain)
-    return scored
-
-
 def rfm_segments(silver: DataFrame, grain: Sequence[str] = ("date", "hour"), as_of: str | None = None,
-                 window_users: int = WINDOW_USERS) -> DataFrame:
+                 most_rows: int = MOST_ROWS) -> DataFrame:
     """Scores 1 to 5 within each grain and the segment they fall in.
 
-    The number of users of the largest group decides how the scores are computed; the result is the same.
+    The users' metrics are stored once; the rows that separate the scores are found by counting (``operators.cuts``), so a
+    grain with very many users is never sorted. ``most_rows`` bounds what is sorted in one place; the result is the same.
     """
-    metrics = rfm_metrics(silver, grain, as_of)
-    users = silver.groupBy(*grain).agg(F.approx_count_distinct("user_id").alias("users"))
-    largest = users.agg(F.coalesce(F.max("users"), F.lit(0))).head()[0]
-    scored = score(metrics, grain, in_one_task=largest <= window_users)
+    metrics = materialize(rfm_metrics(silver, grain, as_of), "rfm")
+    scored = tiles(metrics, TILES, score_orders(), by=grain, most_rows=most_rows)
 
     r, f = F.col("r_score"), F.col("f_score")
     prefix = "Hourly " if "hour" in grain else ""

@@ -149,14 +149,14 @@ def rfm_daily(spark, sf_dir):
 
 @register("rfm_daily_distributed")
 def rfm_daily_distributed(spark, sf_dir):
-    """Daily scores on the path for groups that exceed one task."""
-    return rfm_segments(_silver(spark, sf_dir, dims=("products",)), grain=("date",), window_users=0)
+    """Daily scores with cut rows that are counted down to a few users before anything is sorted."""
+    return rfm_segments(_silver(spark, sf_dir, dims=("products",)), grain=("date",), most_rows=8)
 
 
 @register("rfm_global")
 def rfm_global(spark, sf_dir):
-    """Scores over all users and days at once, ranked by range partitions."""
-    return rfm_segments(_silver(spark, sf_dir, dims=("products",)), grain=(), window_users=0)
+    """Scores over all users and days at once."""
+    return rfm_segments(_silver(spark, sf_dir, dims=("products",)), grain=())
 
 
 @register("session_assignment")
