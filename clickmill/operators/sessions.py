@@ -63,22 +63,35 @@ def session_spans(events: DataFrame, gap: int = SESSION_GAP_SECONDS, grain: Sequ
                  F.sum("events").alias("events")))
 
 
-def platform_sessions(events: DataFrame, gap: int = SESSION_GAP_SECONDS,
-                      grain: Sequence[str] = ("date",)) -> DataFrame:
-    """One row per (grain, user, session, platform) with its number of events.
+def session_pieces(events: DataFrame, gap: int = SESSION_GAP_SECONDS, grain: Sequence[str] = ("date",)) -> DataFrame:
+    """One row per (grain, user, block, platform): first and last second and number of events.
 
-    All events of null users of one platform form a single row, as their session has no id.
+    Pieces of several parts of the same events, such as hours, may be put together and summed up by the same keys again: they are
+    all that sessions need, whatever order the parts come in.
     """
-    pieces = _with_block(events, gap).groupBy(*grain, "user_id", "__block", "platform").agg(
-        F.min("__sec").alias("__first"), F.max("__sec").alias("__last"), F.count("event_id").alias("__events"))
-    per_user = Window.partitionBy(*grain, "user_id").orderBy("__block")
+    return _with_block(events, gap).groupBy(*grain, "user_id", F.col("__block").alias("block"), "platform").agg(
+        F.min("__sec").alias("first_second"), F.max("__sec").alias("last_second"), F.count("event_id").alias("events"))
+
+
+def sessions_of_pieces(pieces: DataFrame, gap: int = SESSION_GAP_SECONDS, grain: Sequence[str] = ("date",)) -> DataFrame:
+    """One row per (grain, user, session, platform) with its number of events, from pieces unique by their keys."""
+    per_user = Window.partitionBy(*grain, "user_id").orderBy("block")
     earlier = per_user.rangeBetween(Window.unboundedPreceding, -1)
     this_block = per_user.rangeBetween(Window.currentRow, Window.currentRow)
     pieces = (pieces
-              .withColumn("__previous", F.max("__last").over(earlier))
-              .withColumn("__block_first", F.min("__first").over(this_block)))
+              .withColumn("__previous", F.max("last_second").over(earlier))
+              .withColumn("__block_first", F.min("first_second").over(this_block)))
     begins = F.col("__previous").isNull() | (F.col("__block_first") - F.col("__previous") > gap)
     start = F.last(F.when(begins, F.col("__block_first")), ignorenulls=True).over(per_user)
     pieces = pieces.withColumn("session_start", F.when(F.col("user_id").isNotNull(), start))
     return (pieces.groupBy(*grain, "user_id", "session_start", "platform")
-            .agg(F.sum("__events").alias("events")))
+            .agg(F.sum("events").alias("events")))
+
+
+def platform_sessions(events: DataFrame, gap: int = SESSION_GAP_SECONDS,
+                      grain: Sequence[str] = ("date",)) -> DataFrame:
+    """One row per (grain, user, session, platform) with its number of events.
+
+    All events of null users of one platform form a single row, as their session has no id.
+    """
+    return sessions_of_pieces(session_pieces(events, gap, grain), gap, grain)

@@ -17,12 +17,12 @@ from clickmill.plans.funnel import funnel_conversion
 from clickmill.plans.profile import customer_profile
 from clickmill.plans.rfm import rfm_segments
 from clickmill.plans.session_performance import session_performance
+from clickmill.plans.summaries import HOUR, SUMMARIES, read_summary, refresh, rewrite, sessions_by_day
 from clickmill.session import materialize, remove_paths
 from clickmill.sources import sinks
 from clickmill.sources.catalog import sync_partitions, table_folder
 from clickmill.sources.lake import partition_folders, partition_values, read_partition, read_range, read_table
 
-HOUR = ("date", "hour")
 DIMENSION_KEYS = {"users": "user_id", "products": "product_id", "categories": "category_id", "stores": "store_id"}
 DAY = ("date",)
 HOT_BATCHES = T.StructType([*schemas.HOT_EVENTS.fields, T.StructField("batch", T.StringType())])
@@ -33,13 +33,16 @@ class Mart:
     build: Callable[..., DataFrame]
     table: str
     grain: tuple[str, ...]
+    # a daily mart that is merged from hourly summaries: their name and the merge
+    summary: str | None = None
+    merge: Callable[[DataFrame], DataFrame] | None = None
 
 
 MARTS = {
     "customer_profile": Mart(customer_profile, "gold.dim_customer_profile", HOUR),
     "funnel_conversion": Mart(funnel_conversion, "gold.fact_funnel_conversion", HOUR),
     "rfm_segments": Mart(rfm_segments, "gold.fact_rfm_segments", HOUR),
-    "session_performance": Mart(session_performance, "gold.fact_session_performance", DAY),
+    "session_performance": Mart(session_performance, "gold.fact_session_performance", DAY, "session_pieces", sessions_by_day),
 }
 
 
@@ -111,19 +114,24 @@ def build_silver(spark: SparkSession, lake: Lake, date: str, hour: str) -> int:
     return rows
 
 
-def build_mart(spark: SparkSession, lake: Lake, name: str, date: str, hour: str) -> int | None:
+def build_mart(spark: SparkSession, lake: Lake, name: str, date: str, *hours: str) -> int | None:
     """Compute one mart for an hour, or for the whole day if the mart is daily.
 
+    A daily mart is merged from the summaries of its hours; ``hours`` are the ones that changed, and only their silver is read.
     Returns the rows written, or None without writing if silver has nothing for that time.
     """
     mart = MARTS[name]
-    at = {"date": date, "hour": hour}
-    spec = {key: at[key] for key in mart.grain}
-    silver = read_partition(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS,
-                            date, spec.get("hour"))
+    if mart.summary:
+        refresh(spark, lake, mart.summary, date, hours)
+        summaries = read_summary(spark, lake, mart.summary, date, date)
+        if summaries.isEmpty():
+            return None
+        return sinks.replace_partition(mart.merge(summaries), lake.folder(mart.table), {"date": date})
+    [hour] = hours
+    silver = read_partition(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS, date, hour)
     if silver.isEmpty():
         return None
-    return sinks.replace_partition(mart.build(silver, grain=mart.grain), lake.folder(mart.table), spec)
+    return sinks.replace_partition(mart.build(silver, grain=mart.grain), lake.folder(mart.table), {"date": date, "hour": hour})
 
 
 def run_hour(spark: SparkSession, lake: Lake, date: str, hour: str,
@@ -154,7 +162,8 @@ def run_pending(spark: SparkSession, lake: Lake, before: str, marts: Sequence[st
         build_silver(spark, lake, date, hour)
         _side_by_side(lambda name: build_mart(spark, lake, name, date, hour), by_hour)
     for date in sorted({date for date, _ in hours}):
-        _side_by_side(lambda name: build_mart(spark, lake, name, date, "00"), by_day)
+        touched = [hour for day, hour in hours if day == date]
+        _side_by_side(lambda name: build_mart(spark, lake, name, date, *touched), by_day)
     if hours:
         publish(spark, lake, "metadata.events", "silver.wide_table_events", *[MARTS[name].table for name in marts])
     return hours
@@ -198,7 +207,13 @@ def backfill(spark: SparkSession, lake: Lake, first: str, last: str,
     def recompute(name: str) -> int:
         mart = MARTS[name]
         root = lake.folder(mart.table)
-        written = sinks.overwrite_partitions(mart.build(silver, grain=mart.grain), root, mart.grain)
+        if mart.summary:
+            rewrite(silver, lake, mart.summary)
+            _drop_gone(spark, lake.folder(SUMMARIES[mart.summary].table), HOUR, first, last, hours)
+            wanted = mart.merge(read_summary(spark, lake, mart.summary, first, last))
+        else:
+            wanted = mart.build(silver, grain=mart.grain)
+        written = sinks.overwrite_partitions(wanted, root, mart.grain)
         _drop_gone(spark, root, mart.grain, first, last, sorted({h[:len(mart.grain)] for h in hours}))
         return written
 

@@ -19,7 +19,11 @@ def session_performance(silver: DataFrame, gap: int = SESSION_GAP_SECONDS, grain
     one more row in the average, but not as a session. Users are counted exactly: the rows are already grouped by
     user, so it costs no further shuffle. ``approximate_users`` uses the sketch instead.
     """
-    sessions = platform_sessions(silver, gap, grain)
+    return performance_of_sessions(platform_sessions(silver, gap, grain), grain, approximate_users)
+
+
+def performance_of_sessions(sessions: DataFrame, grain: Sequence[str] = ("date",), approximate_users: bool = False) -> DataFrame:
+    """The mart from one row per (grain, user, session, platform)."""
     per_user = sessions.groupBy(*grain, "platform", "user_id").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("events") == 1).alias("bounces"),
         F.sum("events").alias("events"))

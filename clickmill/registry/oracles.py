@@ -194,6 +194,9 @@ ORACLES = {
     "session_summary": _SPANS,
     "session_performance_daily": _performance(),
     "session_users_approx_ok": _performance('SELECT "date", platform AS operating_system, TRUE AS close FROM days'),
+    "session_performance_from_hours": _performance(),
+    "funnel_daily_from_hours": _funnel(("date",)),
+    "users_from_sketches_ok": _performance('SELECT "date", platform AS operating_system, TRUE AS close FROM days'),
     "product_sales": _sales(),
     "product_sales_purchases": _sales("WHERE e.event_type = 'PURCHASE'"),
     "product_sales_topk": _sales(tail="ORDER BY total_revenue DESC, name LIMIT 10"),

@@ -16,7 +16,7 @@ from clickmill.operators.enrich import enrich
 from clickmill.operators.messages import encode_events, good_events, parse_messages, quarantined
 from clickmill.operators.sessions import assign_sessions, session_spans
 from clickmill.operators.tiering import archive_split, to_bronze
-from clickmill.plans import hourly
+from clickmill.plans import hourly, summaries
 from clickmill.plans.funnel import STEP_COLUMNS, funnel_conversion
 from clickmill.plans.product_sales import product_sales, top_products
 from clickmill.plans.profile import customer_profile
@@ -186,6 +186,36 @@ def session_users_approx_ok(spark, sf_dir):
     return exact.join(rough, ["date", "operating_system"]).select("date", "operating_system", close.alias("close"))
 
 
+def _summarised(spark, sf_dir, name):
+    """The hourly summaries of all silver, stored by hour and read back."""
+    root = shared_folder(spark, name)
+    summary = summaries.SUMMARIES[name]
+    sinks.overwrite_partitions(summary.summarise(_silver(spark, sf_dir, dims=())), root, HOUR)
+    return read_table(spark, root, summary.contract)
+
+
+@register("session_performance_from_hours")
+def session_performance_from_hours(spark, sf_dir):
+    """The daily session mart merged from hourly pieces."""
+    return summaries.sessions_by_day(_summarised(spark, sf_dir, "session_pieces"))
+
+
+@register("funnel_daily_from_hours")
+def funnel_daily_from_hours(spark, sf_dir):
+    """The daily funnel from hourly bitmaps."""
+    return summaries.funnel_from_bitmaps(_summarised(spark, sf_dir, "funnel_bitmaps"))
+
+
+@register("users_from_sketches_ok")
+def users_from_sketches_ok(spark, sf_dir):
+    """Are the users of a day, from hourly sketches, within three standard errors, 5 %, or one user, of the exact count?"""
+    rough = summaries.users_from_sketches(_summarised(spark, sf_dir, "user_sketches"))
+    exact = session_performance(_silver(spark, sf_dir, dims=())).select(
+        "date", F.col("operating_system").alias("platform"), "total_users")
+    close = F.abs(F.col("users") - F.col("total_users")) <= F.greatest(F.lit(1.0), 0.05 * F.col("total_users"))
+    return exact.join(rough, ["date", "platform"]).select("date", F.col("platform").alias("operating_system"), close.alias("close"))
+
+
 def _sales(spark, sf_dir, **options):
     return product_sales(testbed.hot_events(spark, sf_dir), testbed.products(spark, sf_dir), **options)
 

@@ -14,7 +14,7 @@ PLATFORMS = ("WEB", "IOS", "ANDROID")
 
 
 _TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
-          "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "date": T.DateType()}
+          "boolean": T.BooleanType(), "binary": T.BinaryType(), "timestamp": T.TimestampType(), "date": T.DateType()}
 
 
 def _struct(columns: str) -> T.StructType:
@@ -70,6 +70,13 @@ SESSION_PERFORMANCE = _struct(
     "log_date string, total_sessions bigint, total_users bigint, bounce_sessions bigint, bounce_rate double, "
     "avg_events_per_session double, operating_system string, date string")
 
+# Hourly summaries that merge to days.
+SESSION_PIECES = _struct(
+    "user_id bigint, block bigint, platform string, first_second bigint, last_second bigint, events bigint, "
+    "date string, hour string")
+FUNNEL_BITMAPS = _struct("platform string, step int, bucket bigint, users binary, date string, hour string")
+USER_SKETCHES = _struct("platform string, users binary, date string, hour string")
+
 DIMENSIONS = {"users": USERS, "categories": CATEGORIES, "stores": STORES, "products": PRODUCTS}
 DIMENSION_KEYS = {"users": "user_id", "categories": "category_id", "stores": "store_id", "products": "product_id"}
 
