@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from clickmill import schemas
 from clickmill.operators.dimensions import latest_snapshot, require_ready
-from clickmill.operators.enrich import enrich
+from clickmill.operators.enrich import enrich, enrich_as_of
 from clickmill.operators.tiering import merge_archive, to_bronze
+from clickmill.operators.versions import Period, cut_periods, require_snapshots
 from clickmill.plans.funnel import funnel_conversion
 from clickmill.plans.profile import customer_profile
 from clickmill.plans.rfm import rfm_segments
@@ -169,38 +170,31 @@ def run_pending(spark: SparkSession, lake: Lake, before: str, marts: Sequence[st
     return hours
 
 
-def snapshot_periods(spark: SparkSession, lake: Lake, days: Sequence[str]) -> list[tuple[str, str]]:
-    """The days cut into runs (first, last) that see the same snapshot of every dimension."""
-    dates = [[d for d, in partition_folders(spark, lake.folder(f"metadata.{name}"), "date")] for name in schemas.DIMENSIONS]
-    seen = [tuple(max((d for d in known if d <= day), default=None) for known in dates) for day in days]
-    periods: list[tuple[str, str]] = []
-    for i, day in enumerate(days):
-        if i and seen[i] == seen[i - 1]:
-            periods[-1] = (periods[-1][0], day)
-        else:
-            periods.append((day, day))
-    return periods
+def snapshot_periods(spark: SparkSession, lake: Lake, first: str, last: str) -> list[Period]:
+    """The days cut into periods that see the same snapshot of every dimension, from the folder names."""
+    return cut_periods({name: [d for d, in partition_folders(spark, lake.folder(f"metadata.{name}"), "date")]
+                        for name in schemas.DIMENSIONS}, first, last)
 
 
 def backfill(spark: SparkSession, lake: Lake, first: str, last: str,
              marts: Sequence[str] = tuple(MARTS)) -> dict[str, int]:
     """Recompute silver and gold for days ``first`` to ``last`` from bronze.
 
-    Each day is joined to the snapshots as of that day, as the hourly run does: one silver job per run of days that see
-    the same snapshots, all of whose dimensions are checked before the first is written. The marts take one job each
+    Each day is joined to the snapshots as of that day, as the hourly run does, in one silver job for all days: the snapshots
+    are folded to validity intervals. All of them are checked before anything is written. The marts take one job each
     and are submitted side by side. Partitions that the recomputed range no longer has are removed; their names come
     from the folders.
     """
     silver_root, bronze_root = lake.folder("silver.wide_table_events"), lake.folder("metadata.events")
     hours = [h for h in partition_folders(spark, bronze_root, *HOUR) if first <= h[0] <= last]
-    periods = snapshot_periods(spark, lake, sorted({date for date, _ in hours}))
-    frames = [snapshots(spark, lake, end) for _, end in periods]
     rows = {"silver": 0}
-    for (start, end), dimensions in zip(periods, frames):
-        bronze = read_range(spark, bronze_root, schemas.BRONZE_EVENTS, start, end)
-        written = sinks.overwrite_partitions(enrich(bronze, **dimensions), silver_root, HOUR, sinks.EVENT_SORT)
-        _require_same_rows(bronze.count(), written)
-        rows["silver"] += written
+    if hours:
+        periods = snapshot_periods(spark, lake, hours[0][0], hours[-1][0])
+        tables = {name: read_table(spark, lake.folder(f"metadata.{name}"), contract) for name, contract in schemas.DIMENSIONS.items()}
+        require_snapshots(tables, DIMENSION_KEYS, periods, lake.optional)
+        bronze = read_range(spark, bronze_root, schemas.BRONZE_EVENTS, first, last)
+        rows["silver"] = sinks.overwrite_partitions(enrich_as_of(bronze, tables, periods), silver_root, HOUR, sinks.EVENT_SORT)
+        _require_same_rows(bronze.count(), rows["silver"])
     _drop_gone(spark, silver_root, HOUR, first, last, hours)
     silver = read_range(spark, silver_root, schemas.SILVER_EVENTS, first, last)
 

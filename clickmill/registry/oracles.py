@@ -160,6 +160,24 @@ SELECT p.p_name AS name, round(sum(p.p_retailprice), 2) AS total_revenue, count(
 FROM ev e JOIN part p ON e.product_id = p.p_partkey {where} GROUP BY p.p_name {tail}""")
 
 
+_SILVER_AS_OF = _with(_EVENTS, f"""
+, cat AS (SELECT p_type, min(p_partkey) AS category_id FROM part GROUP BY p_type),
+silver AS (
+  SELECT e.event_id, e.occurred_at, e.event_type, e.platform, e.user_id, lower(c.c_name) AS username,
+         CASE WHEN e."date" >= '2024-01-11' AND e."date" < '2024-01-21' THEN upper(c.c_name) ELSE c.c_name END AS full_name,
+         e.product_id, lower(c.c_name) || '@example.com' AS email,
+         TIMESTAMP '2020-01-01' + to_days(CAST(c.c_custkey AS INTEGER)) AS user_created_at,
+         p.p_name AS product_name,
+         CASE WHEN e."date" >= '2024-01-16' AND p.p_partkey % 2 = 0 THEN p.p_retailprice * 2 ELSE p.p_retailprice END AS product_price,
+         CASE WHEN e."date" >= '2024-01-21' THEN lower(k.p_type) ELSE k.p_type END AS category_name,
+         s.s_name AS store_name, e."date", e."hour"
+  FROM ev e
+  LEFT JOIN customer c ON e.user_id = c.c_custkey
+    AND (c.c_mktsegment <> 'MACHINERY' OR e."date" < '2024-01-11' OR e."date" >= '2024-01-21')
+  LEFT JOIN part p ON e.product_id = p.p_partkey
+  LEFT JOIN cat k ON p.p_type = k.p_type
+  LEFT JOIN supplier s ON p.p_partkey % (SELECT count(*) FROM supplier) = s.s_suppkey)
+SELECT {_SILVER_COLUMNS} FROM silver""")
 _SILVER_ALL = _with(_SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver")
 _EVENTS_ALL = _with(_EVENTS, f"SELECT {_HOT_COLUMNS} FROM ev")
 _HOUR_COUNTS = 'SELECT "date", "hour", count(*) AS events FROM ev GROUP BY "date", "hour"'
@@ -172,6 +190,8 @@ ORACLES = {
         WHERE occurred_at < TIMESTAMP '2024-01-10 06:00:00' OR occurred_at >= TIMESTAMP '2024-01-20 18:00:00'"""),
     "silver_enriched_events": _SILVER_ALL,
     "silver_enriched_shuffled": _SILVER_ALL,
+    "silver_asof_intervals": _SILVER_AS_OF,
+    "silver_asof_shuffled": _SILVER_AS_OF,
     "silver_partition_slice": _with(_SILVER, f"""SELECT {_SILVER_COLUMNS} FROM silver WHERE "date" = '2024-01-12'"""),
     "latest_dimension_snapshot": """
         WITH snaps AS (

@@ -12,10 +12,11 @@ from clickmill import schemas
 from clickmill.functions.columns import date_key, hour_key, month_key, slug
 from clickmill.operators import dimensions as dims
 from clickmill.operators.dedup import dedup, unified_events
-from clickmill.operators.enrich import enrich
+from clickmill.operators.enrich import enrich, enrich_as_of
 from clickmill.operators.messages import encode_events, good_events, parse_messages, quarantined
 from clickmill.operators.sessions import assign_sessions, session_spans
 from clickmill.operators.tiering import archive_split, to_bronze
+from clickmill.operators.versions import cut_periods, require_snapshots
 from clickmill.plans import hourly, summaries
 from clickmill.plans.funnel import STEP_COLUMNS, funnel_conversion
 from clickmill.plans.product_sales import product_sales, top_products
@@ -93,6 +94,48 @@ def silver_enriched_shuffled(spark, sf_dir):
     return _silver(spark, sf_dir, broadcast_bytes=0)
 
 
+def _changing_dimensions(spark, sf_dir) -> dict[str, DataFrame]:
+    """Snapshots over January: users change twice and some go and come back, half of the prices and all categories change once."""
+    frames = testbed.dimensions(spark, sf_dir)
+    gone = testbed.table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("user_id"))
+    users, products, categories = frames["users"], frames["products"], frames["categories"]
+    dearer = F.when(F.col("product_id") % 2 == 0, F.col("price") * 2).otherwise(F.col("price"))
+    versions = {
+        "users": {"2024-01-01": users, "2024-01-11": users.join(gone, "user_id", "left_anti").withColumn("full_name", F.upper("full_name")),
+                  "2024-01-21": users},
+        "products": {"2024-01-01": products, "2024-01-16": products.withColumn("price", dearer)},
+        "categories": {"2024-01-01": categories, "2024-01-21": categories.withColumn("name", F.lower("name"))},
+        "stores": {"2024-01-01": frames["stores"]}}
+    out = {}
+    for name, snapshots in versions.items():
+        root = shared_folder(spark, name)
+        for date, frame in snapshots.items():
+            dims.write_snapshot(frame, root, date, schemas.DIMENSIONS[name])
+        out[name] = read_table(spark, root, schemas.DIMENSIONS[name])
+    return out
+
+
+def _asof(spark, sf_dir, **options):
+    tables = _changing_dimensions(spark, sf_dir)
+    dates = {"users": ["2024-01-01", "2024-01-11", "2024-01-21"], "products": ["2024-01-01", "2024-01-16"],
+             "categories": ["2024-01-01", "2024-01-21"], "stores": ["2024-01-01"]}
+    periods = cut_periods(dates, "2024-01-01", "2024-12-31")
+    require_snapshots(tables, schemas.DIMENSION_KEYS, periods)
+    return enrich_as_of(testbed.bronze_events(spark, sf_dir), tables, periods, **options)
+
+
+@register("silver_asof_intervals")
+def silver_asof_intervals(spark, sf_dir):
+    """All events joined to the dimensions of their day, over several snapshots, in one job."""
+    return _asof(spark, sf_dir)
+
+
+@register("silver_asof_shuffled")
+def silver_asof_shuffled(spark, sf_dir):
+    """The same for versions that are too large to broadcast."""
+    return _asof(spark, sf_dir, broadcast_bytes=0)
+
+
 @register("silver_partition_slice")
 def silver_partition_slice(spark, sf_dir):
     """Write the whole silver table by hour, then read one day's folder."""
