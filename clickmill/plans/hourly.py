@@ -170,6 +170,11 @@ def run_pending(spark: SparkSession, lake: Lake, before: str, marts: Sequence[st
     return hours
 
 
+def dimension_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The four dimensions with all their snapshots."""
+    return {name: read_table(spark, lake.folder(f"metadata.{name}"), contract) for name, contract in schemas.DIMENSIONS.items()}
+
+
 def snapshot_periods(spark: SparkSession, lake: Lake, first: str, last: str) -> list[Period]:
     """The days cut into periods that see the same snapshot of every dimension, from the folder names."""
     return cut_periods({name: [d for d, in partition_folders(spark, lake.folder(f"metadata.{name}"), "date")]
@@ -190,7 +195,7 @@ def backfill(spark: SparkSession, lake: Lake, first: str, last: str,
     rows = {"silver": 0}
     if hours:
         periods = snapshot_periods(spark, lake, hours[0][0], hours[-1][0])
-        tables = {name: read_table(spark, lake.folder(f"metadata.{name}"), contract) for name, contract in schemas.DIMENSIONS.items()}
+        tables = dimension_tables(spark, lake)
         require_snapshots(tables, DIMENSION_KEYS, periods, lake.optional)
         bronze = read_range(spark, bronze_root, schemas.BRONZE_EVENTS, first, last)
         rows["silver"] = sinks.overwrite_partitions(enrich_as_of(bronze, tables, periods), silver_root, HOUR, sinks.EVENT_SORT)

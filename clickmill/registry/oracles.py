@@ -239,6 +239,7 @@ ORACLES = {
         UNION ALL SELECT 'products', (SELECT count(*) FROM part) > 0
         UNION ALL SELECT 'categories', (SELECT count(*) FROM part) > 0
         UNION ALL SELECT 'stores', (SELECT count(*) FROM supplier) > 0""",
+    "stream_silver": _SILVER_AS_OF,
     "stream_sessions": _SPANS,
     "stream_ingest_dedup": _EVENTS_ALL,
     "stream_distinct_events": _EVENTS_ALL,

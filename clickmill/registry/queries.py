@@ -30,6 +30,7 @@ from clickmill.sources.lake import read_partition, read_table
 from clickmill.sources.topics import read_message_files
 from clickmill.streaming.ingest import distinct_events, start_ingest
 from clickmill.streaming.live import append_to_files, live_funnel, live_sessions
+from clickmill.streaming.silver import LIVE_TABLE, start_live_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -94,20 +95,24 @@ def silver_enriched_shuffled(spark, sf_dir):
     return _silver(spark, sf_dir, broadcast_bytes=0)
 
 
-def _changing_dimensions(spark, sf_dir) -> dict[str, DataFrame]:
-    """Snapshots over January: users change twice and some go and come back, half of the prices and all categories change once."""
+def _dimension_history(spark, sf_dir) -> dict[str, dict[str, DataFrame]]:
+    """Snapshots by date over January: users change twice and some go and come back, half of the prices and all categories change once."""
     frames = testbed.dimensions(spark, sf_dir)
     gone = testbed.table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("user_id"))
     users, products, categories = frames["users"], frames["products"], frames["categories"]
     dearer = F.when(F.col("product_id") % 2 == 0, F.col("price") * 2).otherwise(F.col("price"))
-    versions = {
+    return {
         "users": {"2024-01-01": users, "2024-01-11": users.join(gone, "user_id", "left_anti").withColumn("full_name", F.upper("full_name")),
                   "2024-01-21": users},
         "products": {"2024-01-01": products, "2024-01-16": products.withColumn("price", dearer)},
         "categories": {"2024-01-01": categories, "2024-01-21": categories.withColumn("name", F.lower("name"))},
         "stores": {"2024-01-01": frames["stores"]}}
+
+
+def _changing_dimensions(spark, sf_dir) -> dict[str, DataFrame]:
+    """These snapshots written, as whole tables."""
     out = {}
-    for name, snapshots in versions.items():
+    for name, snapshots in _dimension_history(spark, sf_dir).items():
         root = shared_folder(spark, name)
         for date, frame in snapshots.items():
             dims.write_snapshot(frame, root, date, schemas.DIMENSIONS[name])
@@ -383,6 +388,23 @@ def stream_ingest_dedup(spark, sf_dir):
     return dedup(read_table(spark, hot, schemas.HOT_EVENTS))
 
 
+@register("stream_silver")
+def stream_silver(spark, sf_dir):
+    """All messages in the order of time, in small batches, while new snapshots appear between them; one checkpoint."""
+    root, messages, offsets = (shared_folder(spark, name) for name in ("lake", "messages", "offsets"))
+    lake = hourly.Lake(f"{root}/cold", f"{root}/hot")
+    events, history = testbed.hot_events(spark, sf_dir), _dimension_history(spark, sf_dir)
+    days = ["2024-01-01", "2024-01-11", "2024-01-16", "2024-01-21", "9999"]
+    for first, end in zip(days, days[1:]):
+        for name, snapshots in history.items():
+            if first in snapshots:
+                dims.write_snapshot(snapshots[first], lake.folder(f"metadata.{name}"), first, schemas.DIMENSIONS[name])
+        part = events.where((F.col("date") >= first) & (F.col("date") < end))
+        encode_events(part).select("value").repartition(2).write.mode("append").text(messages)
+        _finished(start_live_silver(read_message_files(spark, messages, max_files=2), lake, offsets, ANY_ID))
+    return read_table(spark, lake.folder(LIVE_TABLE), schemas.SILVER_EVENTS)
+
+
 @register("stream_distinct_events")
 def stream_distinct_events(spark, sf_dir):
     """Every message sent twice, with duplicates removed by the stream's own state."""

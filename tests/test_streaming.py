@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 
 from clickmill import schemas
 from clickmill.operators.dedup import dedup
+from clickmill.operators.dimensions import write_snapshot
 from clickmill.operators.messages import encode_events, good_events, parse_messages
 from clickmill.operators.sessions import session_spans
+from clickmill.plans import hourly
 from clickmill.plans.funnel import funnel_conversion
 from clickmill.sources.lake import read_table
 from clickmill.sources.topics import read_message_files, read_topic
 from clickmill.streaming.ingest import distinct_events, start_ingest
 from clickmill.streaming.live import append_to_files, live_funnel, live_sessions
+from clickmill.streaming.silver import LIVE_TABLE, start_live_silver
 from frames import events, rows_of, silver
 
 ANY = r"^\d+$"
@@ -118,3 +121,29 @@ def test_stream_dedup_drops_copies_in_later_batches(spark, tmp_path):
 def test_topic_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_topic(spark, "localhost:1", "events", max_offsets=5000)
+
+
+def test_live_silver_sees_new_snapshots_and_survives_a_restart(spark, tmp_path):
+    lake = hourly.Lake(str(tmp_path / "cold"), str(tmp_path / "hot"))
+    source, offsets = str(tmp_path / "in"), str(tmp_path / "offsets")
+    one = {"products": "SELECT 1 AS product_id, 1 AS store_id, 1 AS category_id, 'p' AS name, 2.5D AS price",
+           "categories": "SELECT 1 AS category_id, 'c' AS name", "stores": "SELECT 1 AS store_id, 's' AS store_name"}
+
+    def users(name, date):
+        write_snapshot(spark.sql(f"SELECT 1L AS user_id, '{name}' AS full_name"), lake.folder("metadata.users"), date, schemas.USERS)
+
+    for table, sql in one.items():
+        write_snapshot(spark.sql(sql), lake.folder(f"metadata.{table}"), "2023-12-31", schemas.DIMENSIONS[table])
+    users("old", "2023-12-31")
+    df = events(spark, [(1, "2024-01-01 10:00:00"), (2, "2024-01-01 11:00:00"), (1, "2024-01-02 10:00:00"), (1, "2024-01-01 10:30:00")])
+    lines = lines_of(df)
+    run = lambda: finish(start_live_silver(read_message_files(spark, source, max_files=1), lake, offsets, ANY))
+    for number in (0, 1):
+        land(source, [lines[number], "{broken"], number)
+    run()
+    users("new", "2024-01-02")
+    land(source, lines[2:], 2)
+    run()
+    run()  # nothing is left
+    got = rows_of(read_table(spark, lake.folder(LIVE_TABLE), schemas.SILVER_EVENTS), "event_id", "full_name", "category_name", "hour")
+    assert got == [("0", "old", "c", "10"), ("1", None, "c", "11"), ("2", "new", "c", "10"), ("3", "old", "c", "10")]
