@@ -7,9 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmill import schemas
+from clickmill.operators.dedup import dedup
 from clickmill.operators.dimensions import latest_snapshot, require_ready
 from clickmill.operators.enrich import enrich, enrich_as_of
 from clickmill.operators.tiering import merge_archive, to_bronze
@@ -18,11 +20,11 @@ from clickmill.plans.funnel import funnel_conversion
 from clickmill.plans.profile import customer_profile
 from clickmill.plans.rfm import rfm_segments
 from clickmill.plans.session_performance import session_performance
-from clickmill.plans.summaries import HOUR, SUMMARIES, read_summary, refresh, rewrite, sessions_by_day
+from clickmill.plans.summaries import HOUR, SUMMARIES, read_summary, refresh, rewrite, sessions_by_day, silver_hours
 from clickmill.session import materialize, remove_paths
 from clickmill.sources import sinks
 from clickmill.sources.catalog import sync_partitions, table_folder
-from clickmill.sources.lake import partition_folders, partition_values, read_partition, read_range, read_table
+from clickmill.sources.lake import partition_folders, partition_values, read_hours, read_partition, read_range, read_table
 
 DIMENSION_KEYS = {"users": "user_id", "products": "product_id", "categories": "category_id", "stores": "store_id"}
 DAY = ("date",)
@@ -123,7 +125,7 @@ def build_mart(spark: SparkSession, lake: Lake, name: str, date: str, *hours: st
     """
     mart = MARTS[name]
     if mart.summary:
-        refresh(spark, lake, mart.summary, date, hours)
+        refresh(spark, lake, mart.summary, [(date, hour) for hour in hours])
         summaries = read_summary(spark, lake, mart.summary, date, date)
         if summaries.isEmpty():
             return None
@@ -153,20 +155,55 @@ def pending_hours(spark: SparkSession, lake: Lake, before: str) -> list[tuple[st
     return sorted((date, hour) for date, hour in hours if f"{date} {hour}" < before)
 
 
+def archive_hours(spark: SparkSession, lake: Lake, hours: Sequence[tuple[str, str]]) -> None:
+    """``archive_hour`` for many hours in one job; the hot batches that were listed first are read and then deleted."""
+    wanted = set(hours)
+    leaves = [f"{lake.hot.rstrip('/')}/date={date}/hour={hour}/batch={batch}"
+              for date, hour, batch in partition_folders(spark, lake.hot, *HOUR, "batch") if (date, hour) in wanted]
+    hot = spark.read.schema(HOT_BATCHES).option("basePath", lake.hot).parquet(*leaves)
+    bronze_root = lake.folder("metadata.events")
+    existing = read_hours(spark, bronze_root, schemas.BRONZE_EVENTS, hours)
+    # copies share their hour; the same id in two hours is two events, as when hours are archived one by one
+    both = existing.unionByName(to_bronze(hot).select(*existing.columns))
+    merged = materialize(dedup(both, (*HOUR, "event_id")), "archive")
+    sinks.overwrite_partitions(merged, bronze_root, HOUR, sinks.EVENT_SORT)
+    remove_paths(spark, leaves)
+
+
+def build_silver_hours(spark: SparkSession, lake: Lake, hours: Sequence[tuple[str, str]]) -> int:
+    """``build_silver`` for many hours in one job, each day joined to its own snapshots."""
+    periods, tables = snapshot_periods(spark, lake, hours[0][0], hours[-1][0]), dimension_tables(spark, lake)
+    require_snapshots(tables, DIMENSION_KEYS, periods, lake.optional)
+    bronze = read_hours(spark, lake.folder("metadata.events"), schemas.BRONZE_EVENTS, hours)
+    rows = sinks.overwrite_partitions(enrich_as_of(bronze, tables, periods), lake.folder("silver.wide_table_events"), HOUR,
+                                      sinks.EVENT_SORT)
+    _require_same_rows(bronze.count(), rows)
+    return rows
+
+
 def run_pending(spark: SparkSession, lake: Lake, before: str, marts: Sequence[str] = tuple(MARTS)) -> list[tuple[str, str]]:
-    """Archive and recompute every pending hour; a daily mart once per touched day. Returns the hours."""
+    """Archive and recompute all pending hours together, a job per table; returns the hours.
+
+    Daily marts are merged anew for the touched days from the summaries of their hours.
+    """
     hours = pending_hours(spark, lake, before)
-    by_hour = [name for name in marts if MARTS[name].grain == HOUR]
-    by_day = [name for name in marts if MARTS[name].grain == DAY]
-    for date, hour in hours:
-        archive_hour(spark, lake, date, hour)
-        build_silver(spark, lake, date, hour)
-        _side_by_side(lambda name: build_mart(spark, lake, name, date, hour), by_hour)
-    for date in sorted({date for date, _ in hours}):
-        touched = [hour for day, hour in hours if day == date]
-        _side_by_side(lambda name: build_mart(spark, lake, name, date, *touched), by_day)
-    if hours:
-        publish(spark, lake, "metadata.events", "silver.wide_table_events", *[MARTS[name].table for name in marts])
+    if not hours:
+        return hours
+    archive_hours(spark, lake, hours)
+    build_silver_hours(spark, lake, hours)
+    silver, days = silver_hours(spark, lake, hours), sorted({date for date, _ in hours})
+
+    def recompute(name: str) -> int:
+        mart = MARTS[name]
+        if mart.summary:
+            refresh(spark, lake, mart.summary, hours)
+            rows = mart.merge(read_summary(spark, lake, mart.summary, days[0], days[-1]).where(F.col("date").isin(days)))
+        else:
+            rows = mart.build(silver, grain=mart.grain)
+        return sinks.overwrite_partitions(rows, lake.folder(mart.table), mart.grain)
+
+    _side_by_side(recompute, marts)
+    publish(spark, lake, "metadata.events", "silver.wide_table_events", *[MARTS[name].table for name in marts])
     return hours
 
 

@@ -25,7 +25,7 @@ from clickmill.operators.sessions import SESSION_GAP_SECONDS, session_pieces, se
 from clickmill.plans.funnel import STEP_COLUMNS, step_bit
 from clickmill.plans.session_performance import performance_of_sessions
 from clickmill.sources import sinks
-from clickmill.sources.lake import partition_folders, read_table
+from clickmill.sources.lake import partition_folders, read_hours, read_table
 
 HOUR = ("date", "hour")
 SKETCH_LG = 12  # standard error of about 1.6 %
@@ -85,30 +85,29 @@ SUMMARIES = {
 }
 
 
-def silver_hours(spark: SparkSession, lake, date: str, hours: Sequence[str]) -> DataFrame:
-    """Silver of some hours of a day; only their folders are read."""
-    silver = read_table(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS)
-    return silver.where((F.col("date") == date) & F.col("hour").isin(list(hours)))
+def silver_hours(spark: SparkSession, lake, hours: Sequence[tuple[str, str]]) -> DataFrame:
+    """Silver of some hours; only their folders are read."""
+    return read_hours(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS, hours)
 
 
-def refresh(spark: SparkSession, lake, name: str, date: str, hours: Sequence[str]) -> list[str]:
-    """Bring the summaries of a day up to date after ``hours`` have changed in silver; returns the hours summarised.
+def refresh(spark: SparkSession, lake, name: str, hours: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Bring the summaries up to date after ``hours`` have changed in silver, in one job; returns the hours summarised.
 
-    Hours that silver has and the summary lacks are summarised too, and those that silver lost are dropped.
+    On the days of these hours, what silver has and the summary lacks is summarised too, and what silver lost is dropped.
     """
     summary = SUMMARIES[name]
-    root = lake.folder(summary.table)
-    there = {h for d, h in partition_folders(spark, lake.folder("silver.wide_table_events"), *HOUR) if d == date}
-    known = {h for d, h in partition_folders(spark, root, *HOUR) if d == date}
+    root, days = lake.folder(summary.table), {date for date, _ in hours}
+    there = {h for h in partition_folders(spark, lake.folder("silver.wide_table_events"), *HOUR) if h[0] in days}
+    known = {h for h in partition_folders(spark, root, *HOUR) if h[0] in days}
     todo = sorted(there & (set(hours) | (there - known)))
     if todo:
-        sinks.overwrite_partitions(summary.summarise(silver_hours(spark, lake, date, todo)), root, HOUR)
-    sinks.drop_stale(spark, root, HOUR, [(date, h) for h in known], [(date, h) for h in there])
+        rewrite(silver_hours(spark, lake, todo), lake, name)
+    sinks.drop_stale(spark, root, HOUR, list(known), list(there))
     return todo
 
 
 def rewrite(silver: DataFrame, lake, name: str) -> None:
-    """Summarise all hours of a range of silver in one job."""
+    """Summarise whole hours of silver in one job."""
     summary = SUMMARIES[name]
     sinks.overwrite_partitions(summary.summarise(silver), lake.folder(summary.table), HOUR)
 

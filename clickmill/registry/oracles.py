@@ -246,13 +246,13 @@ ORACLES = {
     "stream_funnel": _funnel(("date", "hour")),
     "stream_funnel_approx": f"""
         SELECT log_date, "hour", device_type, TRUE AS close FROM ({_funnel(("date", "hour"))})""",
-    "late_hours_recomputed": _with(_EVENTS, """
-        , cut AS (SELECT * FROM ev WHERE "date" = '2024-01-01' AND "hour" < '03')
-        SELECT 'silver' AS part, "hour", count(*) AS n FROM cut GROUP BY "hour"
-        UNION ALL SELECT 'buyers', "hour", count(DISTINCT CASE WHEN event_type = 'PURCHASE' THEN platform || user_id END)
-        FROM cut GROUP BY "hour"
-        UNION ALL SELECT 'users', '', CAST(sum(n) AS BIGINT) FROM (
-          SELECT platform, count(DISTINCT user_id) AS n FROM cut GROUP BY platform)"""),
+    "late_hours_recomputed": _with(_EVENTS, f"""
+        SELECT 'silver' AS part, "date", "hour", count(*) AS n FROM ev GROUP BY "date", "hour"
+        UNION ALL
+        SELECT 'buyers', "date", "hour", count(DISTINCT CASE WHEN event_type = 'PURCHASE' THEN platform || user_id END)
+        FROM ev GROUP BY "date", "hour"
+        UNION ALL
+        SELECT 'sessions', "date", '', CAST(sum(total_sessions) AS BIGINT) FROM ({_performance()}) GROUP BY "date\""""),
     "partition_replace_roundtrip": _with(_EVENTS, f"""
         SELECT {_BRONZE_COLUMNS} FROM ev WHERE "date" <> '2024-01-20' OR "hour" <> '10'"""),
     "gold_overwrite_roundtrip": _funnel(("date", "hour")),

@@ -492,23 +492,23 @@ def hour_archive_roundtrip(spark, sf_dir):
 
 @register("late_hours_recomputed")
 def late_hours_recomputed(spark, sf_dir):
-    """Run all hours before 03 of the first day, let a fifth of the events arrive late, run what is pending again."""
+    """Run all hours, let every fiftieth event arrive late, run what is pending again; totals per hour and day."""
     root = shared_folder(spark, "lake")
     lake = hourly.Lake(f"{root}/cold", f"{root}/hot")
     for name, frame in testbed.dimensions(spark, sf_dir).items():
         dims.write_snapshot(frame, lake.folder(f"metadata.{name}"), "2024-01-01", schemas.DIMENSIONS[name])
-    events, late = testbed.hot_events(spark, sf_dir), F.col("event_id").cast("bigint") % 5 == 0
+    events, late = testbed.hot_events(spark, sf_dir), F.col("event_id").cast("bigint") % 50 == 0
     for batch, part in (("first", events.where(~late)), ("late", events.where(late))):
         sinks.overwrite_partitions(part.withColumn("batch", F.lit(batch)), lake.hot, (*HOUR, "batch"))
-        hourly.run_pending(spark, lake, "2024-01-01 03", ["funnel_conversion", "session_performance"])
+        hourly.run_pending(spark, lake, "9999", ["funnel_conversion", "session_performance"])
     silver = read_table(spark, lake.folder("silver.wide_table_events"), schemas.SILVER_EVENTS)
     funnel = read_table(spark, lake.folder("gold.fact_funnel_conversion"), schemas.FUNNEL_CONVERSION)
     sessions = read_table(spark, lake.folder("gold.fact_session_performance"), schemas.SESSION_PERFORMANCE)
-    return (silver.groupBy("hour").agg(F.count(F.lit(1)).alias("n")).select(F.lit("silver").alias("part"), "hour", "n")
-            .unionByName(funnel.groupBy("hour").agg(F.sum("step_4_purchase_success").alias("n"))
-                         .select(F.lit("buyers").alias("part"), "hour", "n"))
-            .unionByName(sessions.agg(F.sum("total_users").alias("n"))
-                         .select(F.lit("users").alias("part"), F.lit("").alias("hour"), "n")))
+    return (silver.groupBy(*HOUR).agg(F.count(F.lit(1)).alias("n")).select(F.lit("silver").alias("part"), *HOUR, "n")
+            .unionByName(funnel.groupBy(*HOUR).agg(F.sum("step_4_purchase_success").alias("n"))
+                         .select(F.lit("buyers").alias("part"), *HOUR, "n"))
+            .unionByName(sessions.groupBy("date").agg(F.sum("total_sessions").alias("n"))
+                         .select(F.lit("sessions").alias("part"), "date", F.lit("").alias("hour"), "n")))
 
 
 @register("catalog_sync_roundtrip")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,12 @@ def read_range(spark: SparkSession, root: str, contract: T.StructType, first: st
     return read_table(spark, root, contract).where(F.col("date").between(first, last))
 
 
+def read_hours(spark: SparkSession, root: str, contract: T.StructType, hours: Sequence[tuple[str, str]]) -> DataFrame:
+    """The given (date, hour) partitions, by partition pruning."""
+    wanted = F.concat_ws(" ", "date", "hour").isin([f"{date} {hour}" for date, hour in hours])
+    return read_table(spark, root, contract).where(wanted)
+
+
 def _tolerant(spark: SparkSession, path: str, root: str, contract: T.StructType) -> DataFrame:
     # Only a missing folder is an empty table. Every other error, such as a broken file, must reach the caller.
     try:

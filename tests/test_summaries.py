@@ -62,9 +62,10 @@ def test_only_changed_hours_of_silver_are_read(spark, lake):
     rows = wide(day_of_events(spark))
     for hour in ("01", "02", "03"):
         put_hour(lake, rows, hour)
-    assert summaries.refresh(spark, lake, "session_pieces", DAY, ["01", "02", "03"]) == ["01", "02", "03"]
-    assert summaries.refresh(spark, lake, "session_pieces", DAY, ["03"]) == ["03"]
-    read = summaries.silver_hours(spark, lake, DAY, ["03"])
+    all_three = [(DAY, "01"), (DAY, "02"), (DAY, "03")]
+    assert summaries.refresh(spark, lake, "session_pieces", all_three) == all_three
+    assert summaries.refresh(spark, lake, "session_pieces", all_three[2:]) == all_three[2:]
+    read = summaries.silver_hours(spark, lake, all_three[2:])
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "date" in plan.split("PartitionFilters")[1].split("]")[0]
     assert {r[0].split("hour=")[1][:2] for r in read.select(F.input_file_name()).distinct().collect()} == {"03"}
