@@ -111,5 +111,22 @@ def _attach_shuffled(fact: DataFrame, lookup: DataFrame, keys: list[str], how: s
         *[_either(f"__heavy_{c}", f"__cold_{c}").alias(c) for c in extra])
 
 
+def attach_bucketed(fact: DataFrame, lookup: DataFrame, key: str, heavy_parts: int = HEAVY_PARTS) -> DataFrame:
+    """Left join of a lookup that lies in a table bucketed on ``key`` (unique there): only the fact moves.
+
+    The buckets take the place of the lookup's shuffle, so a dimension written once serves every join on its key. As in
+    ``attach``, heavy keys get their rows by broadcast and, with the rows of a null key, stay where they are; arithmetic bounds
+    their number. The fact is scanned three times: to count, for its light keys and for its heavy ones.
+    """
+    most = heavy_parts * int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = materialize(fact.where(all_set([key])).groupBy(key).agg(F.count(F.lit(1)).alias("__n")), "weights")
+    heavy = F.broadcast(counted.where(F.col("__n") * most > counted.select(F.sum("__n")).scalar()).select(key))
+    light = fact.where(all_set([key])).join(heavy, key, "left_anti").join(lookup.hint("merge"), key, "left")
+    rows = F.broadcast(lookup.join(heavy, key, "left_semi"))
+    rest = fact.join(heavy, key, "left_semi").unionByName(fact.where(~all_set([key]))).join(rows, key, "left")
+    columns = [*fact.columns, *[c for c in lookup.columns if c != key]]
+    return light.select(*columns).unionByName(rest.select(*columns))
+
+
 def _either(heavy: str, cold: str) -> Column:
     return F.when(F.col("__heavy"), F.col(heavy)).otherwise(F.col(cold))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmill.operators.lookup import BROADCAST_BYTES, attach
+from clickmill.session import materialize
 
 SESSION_GAP_SECONDS = 1800
 
@@ -44,13 +45,15 @@ def session_blocks(events: DataFrame, gap: int = SESSION_GAP_SECONDS, grain: Seq
 
 def assign_sessions(events: DataFrame, gap: int = SESSION_GAP_SECONDS, grain: Sequence[str] = ("date",),
                     broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Add ``session_id`` (null for null users) to every event."""
+    """Add ``session_id`` (null for null users) to every event.
+
+    The blocks are written once; their size and, by their row counts, the heavy ones are read from that table, so the
+    events are scanned twice: for the blocks and for the join.
+    """
     keys = [*grain, "user_id", "__block"]
-    blocks = session_blocks(events, gap, grain)
-    # There are at most as many blocks as events; a row is a few cells and a session id of two numbers.
-    most_bytes = events.count() * (16 * (len(keys) + 1) + 16 * len(grain) + 41)
+    blocks = materialize(session_blocks(events, gap, grain).select(*keys, "session_id", "rows"), "session-blocks")
     joined = attach(_with_block(events, gap), blocks.select(*keys, "session_id"), keys, broadcast_bytes=broadcast_bytes,
-                    weigh=blocks.select(*keys, F.col("rows").alias("__n")), lookup_bytes=most_bytes)
+                    weigh=blocks.select(*keys, F.col("rows").alias("__n")))
     return joined.select(*events.columns, "session_id")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -82,11 +83,32 @@ def archive_hour(spark: SparkSession, lake: Lake, date: str, hour: str) -> int:
         return existing.count()
     # Written out first, because the merge reads the partition that it replaces.
     merged = materialize(merge_archive(existing, to_bronze(hot)), "archive")
-    rows = sinks.replace_partition(merged, bronze_root, {"date": date, "hour": hour}, sinks.EVENT_SORT)
+    rows = sinks.replace_partition(merged, bronze_root, {"date": date, "hour": hour}, sinks.EVENT_SORT, sinks.EVENT_BLOOM)
     remove_paths(spark, [f"{leaf}/batch={number}" for number in batches])
     return rows
 
 
+def compact_hot(spark: SparkSession, hot_root: str) -> int:
+    """Merge the micro-batches of each hour of the hot tier into one batch; returns the hours that were merged.
+
+    A stream leaves a folder per micro-batch and touched hour. Hours of a single batch stay as they are. The merged batch is
+    written before the batches that were read are deleted, and copies are removed, so a run that dies in between leaves
+    copies that reading through ``dedup``, archiving or the next compaction removes. Batches that land meanwhile stay.
+    Not to be run on an hour that is being archived.
+    """
+    by_hour: dict[tuple[str, str], list[str]] = {}
+    for date, hour, batch in partition_folders(spark, hot_root, *HOUR, "batch"):
+        by_hour.setdefault((date, hour), []).append(f"{hot_root.rstrip('/')}/date={date}/hour={hour}/batch={batch}")
+    leaves = [leaf for batches in by_hour.values() if len(batches) > 1 for leaf in batches]
+    if not leaves:
+        return 0
+    hot = spark.read.schema(HOT_BATCHES).option("basePath", hot_root).parquet(*leaves).drop("batch")
+    merged = dedup(hot, (*HOUR, "event_id")).withColumn("batch", F.lit(f"merged-{uuid.uuid4().hex}"))
+    sinks.overwrite_partitions(merged, hot_root, (*HOUR, "batch"), sinks.EVENT_SORT)
+    remove_paths(spark, leaves)
+    return sum(len(batches) > 1 for batches in by_hour.values())
+
+
 def snapshots(spark: SparkSession, lake: Lake, as_of: str) -> dict[str, DataFrame]:
     """The four dimensions as of a date, each a single snapshot; refused if one is missing or repeats a key."""
     frames = {name: latest_snapshot(read_table(spark, lake.folder(f"metadata.{name}"), contract), as_of)
@@ -166,7 +188,7 @@ def archive_hours(spark: SparkSession, lake: Lake, hours: Sequence[tuple[str, st
     # copies share their hour; the same id in two hours is two events, as when hours are archived one by one
     both = existing.unionByName(to_bronze(hot).select(*existing.columns))
     merged = materialize(dedup(both, (*HOUR, "event_id")), "archive")
-    sinks.overwrite_partitions(merged, bronze_root, HOUR, sinks.EVENT_SORT)
+    sinks.overwrite_partitions(merged, bronze_root, HOUR, sinks.EVENT_SORT, bloom=sinks.EVENT_BLOOM)
     remove_paths(spark, leaves)
 
 

@@ -192,6 +192,8 @@ ORACLES = {
     "silver_enriched_shuffled": _SILVER_ALL,
     "silver_asof_intervals": _SILVER_AS_OF,
     "silver_asof_shuffled": _SILVER_AS_OF,
+    "users_from_buckets": _with(_SILVER, f"""
+        SELECT event_id, user_id, username, full_name, email, {_text("user_created_at")} FROM silver"""),
     "silver_partition_slice": _with(_SILVER, f"""SELECT {_SILVER_COLUMNS} FROM silver WHERE "date" = '2024-01-12'"""),
     "latest_dimension_snapshot": """
         WITH snaps AS (
@@ -211,6 +213,7 @@ ORACLES = {
     "rfm_daily_distributed": _rfm(("date",)),
     "rfm_global": _rfm(()),
     "session_assignment": _with(_SESSIONS, "SELECT event_id, session_id FROM sessions"),
+    "session_assignment_shuffled": _with(_SESSIONS, "SELECT event_id, session_id FROM sessions"),
     "session_summary": _SPANS,
     "session_performance_daily": _performance(),
     "session_users_approx_ok": _performance('SELECT "date", platform AS operating_system, TRUE AS close FROM days'),
@@ -242,6 +245,8 @@ ORACLES = {
     "stream_silver": _SILVER_AS_OF,
     "stream_sessions": _SPANS,
     "stream_ingest_dedup": _EVENTS_ALL,
+    "stream_restart": _with(_EVENTS, """
+        SELECT "date", "hour", count(*) AS events, count(DISTINCT event_id) AS ids, 1 AS batches FROM ev GROUP BY "date", "hour\""""),
     "stream_distinct_events": _EVENTS_ALL,
     "stream_funnel": _funnel(("date", "hour")),
     "stream_funnel_approx": f"""
@@ -255,6 +260,18 @@ ORACLES = {
         SELECT 'sessions', "date", '', CAST(sum(total_sessions) AS BIGINT) FROM ({_performance()}) GROUP BY "date\""""),
     "partition_replace_roundtrip": _with(_EVENTS, f"""
         SELECT {_BRONZE_COLUMNS} FROM ev WHERE "date" <> '2024-01-20' OR "hour" <> '10'"""),
+    "point_reads": _with(_EVENTS, f"""
+        , ends AS (SELECT min(event_id) AS low, max(event_id) AS high FROM ev GROUP BY event_type)
+        SELECT {_BRONZE_COLUMNS} FROM ev
+        WHERE event_id IN (SELECT low FROM ends) OR event_id IN (SELECT high FROM ends)"""),
+    "published_versions": _funnel(("date", "hour")),
+    "catalog_reload": """
+        SELECT c_custkey AS user_id, lower(c_name) AS username, FALSE AS gone_exists, 'empty' AS empty_snapshot FROM customer""",
+    "uuid_roundtrip": """
+        SELECT event_id, substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-8' || substr(d, 14, 3) || '-'
+               || translate(substr(d, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(d, 18, 3) || '-'
+               || substr(d, 21) AS uuid
+        FROM (SELECT event_id, md5('+' || event_id) AS d FROM events)""",
     "gold_overwrite_roundtrip": _funnel(("date", "hour")),
     "hour_archive_roundtrip": _with(_EVENTS, _HOUR_COUNTS),
     "catalog_sync_roundtrip": _with(_EVENTS, f"""

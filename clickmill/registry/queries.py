@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill import schemas
-from clickmill.functions.columns import date_key, hour_key, month_key, slug
+from clickmill.functions.columns import canonical_uuid, date_key, hour_key, month_key, name_uuid, slug
 from clickmill.operators import dimensions as dims
 from clickmill.operators.dedup import dedup, unified_events
-from clickmill.operators.enrich import enrich, enrich_as_of
+from clickmill.operators.enrich import enrich, enrich_as_of, user_lookup
+from clickmill.operators.lookup import attach_bucketed
 from clickmill.operators.messages import encode_events, good_events, parse_messages, quarantined
 from clickmill.operators.sessions import assign_sessions, session_spans
 from clickmill.operators.tiering import archive_split, to_bronze
@@ -26,7 +27,7 @@ from clickmill.plans.session_performance import session_performance
 from clickmill.registry import testbed
 from clickmill.session import apply_runtime_conf, shared_folder
 from clickmill.sources import catalog, sinks
-from clickmill.sources.lake import read_partition, read_table
+from clickmill.sources.lake import find_rows, list_files, read_partition, read_table
 from clickmill.sources.topics import read_message_files
 from clickmill.streaming.ingest import distinct_events, start_ingest
 from clickmill.streaming.live import append_to_files, live_funnel, live_sessions
@@ -141,6 +142,19 @@ def silver_asof_shuffled(spark, sf_dir):
     return _asof(spark, sf_dir, broadcast_bytes=0)
 
 
+@register("users_from_buckets")
+def users_from_buckets(spark, sf_dir):
+    """All events joined to users that lie in a bucketed table, so only the events are shuffled."""
+    root = shared_folder(spark, "buckets")
+    name = "clickmill_" + root.rsplit("-", 1)[1]
+    catalog.create_schema(spark, name, root)
+    users = f"`{name}`.`users`"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    catalog.write_bucketed(user_lookup(testbed.users(spark, sf_dir)), users, f"{root}/users", "user_id", buckets)
+    return attach_bucketed(testbed.hot_events(spark, sf_dir), spark.table(users), "user_id").select(
+        "event_id", "user_id", "username", "full_name", "email", "user_created_at")
+
+
 @register("silver_partition_slice")
 def silver_partition_slice(spark, sf_dir):
     """Write the whole silver table by hour, then read one day's folder."""
@@ -212,6 +226,12 @@ def session_assignment(spark, sf_dir):
     return assign_sessions(testbed.hot_events(spark, sf_dir)).select("event_id", "session_id")
 
 
+@register("session_assignment_shuffled")
+def session_assignment_shuffled(spark, sf_dir):
+    """The join path for more blocks than may be broadcast."""
+    return assign_sessions(testbed.hot_events(spark, sf_dir), broadcast_bytes=0).select("event_id", "session_id")
+
+
 @register("session_summary")
 def session_summary(spark, sf_dir):
     return session_spans(testbed.hot_events(spark, sf_dir)).select(
@@ -405,6 +425,26 @@ def stream_silver(spark, sf_dir):
     return read_table(spark, lake.folder(LIVE_TABLE), schemas.SILVER_EVENTS)
 
 
+@register("stream_restart")
+def stream_restart(spark, sf_dir):
+    """All messages in many micro-batches: the stream ends in mid-topic as if its machine was lost after the last write, goes on
+    from its checkpoint, and the hot batches are merged. Events, ids and files per hour."""
+    hot, bad, messages, offsets = (shared_folder(spark, name) for name in ("hot", "quarantine", "messages", "offsets"))
+    events = testbed.hot_events(spark, sf_dir)
+    for part in (events.where("date < '2024-01-15'"), events.where("date >= '2024-01-15' OR date IS NULL")):
+        encode_events(part.repartitionByRange(4, "occurred_at")).select("value").write.mode("append").text(messages)
+        _finished(start_ingest(read_message_files(spark, messages, max_files=1), hot, bad, offsets, ANY_ID))
+        # without its last commit a restarted stream repeats that batch
+        done = max(int(path.rsplit("/", 1)[1]) for path in list_files(spark, f"{offsets}/commits"))
+        sinks.remove_paths(spark, [f"{offsets}/commits/{done}", f"{offsets}/commits/.{done}.crc"])
+    _finished(start_ingest(read_message_files(spark, messages, max_files=1), hot, bad, offsets, ANY_ID))
+    hourly.compact_hot(spark, hot)
+    stored = spark.read.schema(hourly.HOT_BATCHES).parquet(hot)
+    return stored.groupBy(*HOUR).agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("event_id").alias("ids"),
+        F.count_distinct("batch").alias("batches"))
+
+
 @register("stream_distinct_events")
 def stream_distinct_events(spark, sf_dir):
     """Every message sent twice, with duplicates removed by the stream's own state."""
@@ -460,6 +500,62 @@ def partition_replace_roundtrip(spark, sf_dir):
     return read_table(spark, root, schemas.BRONZE_EVENTS)
 
 
+@register("point_reads")
+def point_reads(spark, sf_dir):
+    """All bronze events with Bloom filters on their ids; the first and last event of each type, and an id that is not there."""
+    root = shared_folder(spark, "bronze")
+    bronze = testbed.bronze_events(spark, sf_dir)
+    sinks.overwrite_partitions(bronze, root, HOUR, sinks.EVENT_SORT, bloom=sinks.EVENT_BLOOM)
+    ends = bronze.groupBy("event_type").agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).collect()  # per type
+    wanted = [value for row in ends for value in (row["low"], row["high"])]
+    return find_rows(spark, root, schemas.BRONZE_EVENTS, "event_id", [*wanted, "none"])
+
+
+@register("published_versions")
+def published_versions(spark, sf_dir):
+    """The funnel by name through three versions: all hours with doubled counts, all hours, and again the later half."""
+    root = shared_folder(spark, "published")
+    name = "clickmill_" + root.rsplit("-", 1)[1]
+    catalog.create_schema(spark, name, root)
+    table, folder = f"`{name}`.`funnel`", f"{root}/funnel"
+    catalog.create_table(spark, table, schemas.FUNNEL_CONVERSION, folder, ("log_date",))
+    funnel = funnel_conversion(_silver(spark, sf_dir, dims=()))
+    doubled = funnel.select(*[(2 * F.col(c)).cast(t).alias(c) if c in STEP_COLUMNS else F.col(c) for c, t in funnel.dtypes])
+    catalog.publish_version(doubled, table, folder, ("log_date",))
+    catalog.publish_version(funnel, table, folder, ("log_date",))
+    catalog.publish_version(funnel.where("log_date >= '2024-01-15'"), table, folder, ("log_date",))
+    catalog.drop_versions(spark, table, folder, ("log_date",))
+    return spark.table(table).select(*funnel.columns)
+
+
+@register("catalog_reload")
+def catalog_reload(spark, sf_dir):
+    """Managed users loaded twice, emptied before the second load; a table dropped; a snapshot of an empty source left out."""
+    root = shared_folder(spark, "managed")
+    name = "clickmill_" + root.rsplit("-", 1)[1]
+    catalog.create_schema(spark, name, root)
+    users, gone = f"`{name}`.`users`", f"`{name}`.`gone`"
+    rows = testbed.users(spark, sf_dir)
+    rows.write.saveAsTable(users)
+    rows.write.saveAsTable(gone)
+    catalog.truncate_tables(spark, [users])
+    rows.write.insertInto(users)
+    catalog.drop_table(spark, gone)
+    outcome = dims.write_snapshot(rows.where("false"), f"{root}/snapshots", "2024-01-01", schemas.USERS)
+    return spark.table(users).select("user_id", "username", F.lit(spark.catalog.tableExists(gone)).alias("gone_exists"),
+                                     F.lit(outcome).alias("empty_snapshot"))
+
+
+@register("uuid_roundtrip")
+def uuid_roundtrip(spark, sf_dir):
+    """An id for each event, written in four common forms and read back."""
+    events = testbed.table(spark, sf_dir, "events").select("event_id", name_uuid(F.col("event_id")).alias("id"))
+    form = F.col("event_id") % 4
+    written = (F.when(form == 0, F.upper("id")).when(form == 1, F.concat(F.lit("{"), "id", F.lit("}")))
+               .when(form == 2, F.concat(F.lit("urn:uuid:"), "id")).otherwise(F.replace(F.col("id"), F.lit("-"), F.lit(""))))
+    return events.select("event_id", canonical_uuid(written).alias("uuid"))
+
+
 @register("gold_overwrite_roundtrip")
 def gold_overwrite_roundtrip(spark, sf_dir):
     """Write the funnel for all hours, then again for the later half: each hour must be there once."""

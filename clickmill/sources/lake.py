@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,24 @@ def read_hours(spark: SparkSession, root: str, contract: T.StructType, hours: Se
     return read_table(spark, root, contract).where(wanted)
 
 
+#: Longest list that Spark hands to the Parquet reader value by value, see ``find_rows``.
+POINT_VALUES = "spark.sql.parquet.pushdown.inFilterThreshold"
+
+
+def find_rows(spark: SparkSession, root: str, contract: T.StructType, column: str, values: Sequence) -> DataFrame:
+    """The rows whose ``column`` holds one of a few values, wherever they lie.
+
+    Up to ``POINT_VALUES`` values (10 unless set) reach the Parquet reader one by one, which then skips each row group whose
+    statistics, dictionary or Bloom filter rule all of them out. Longer lists are cut into such groups, and the groups' rows
+    put together, so pass few: each group opens the footers anew. A value given twice counts once; null finds nothing.
+    """
+    wanted = list(dict.fromkeys(v for v in values if v is not None))
+    step = int(spark.conf.get(POINT_VALUES))
+    table = read_table(spark, root, contract)
+    parts = [table.where(F.col(column).isin(wanted[i:i + step])) for i in range(0, len(wanted), step)]
+    return reduce(DataFrame.unionByName, parts) if parts else table.where(F.lit(False))
+
+
 def _tolerant(spark: SparkSession, path: str, root: str, contract: T.StructType) -> DataFrame:
     # Only a missing folder is an empty table. Every other error, such as a broken file, must reach the caller.
     try:
@@ -52,6 +71,13 @@ def partition_values(df: DataFrame, *keys: str) -> list[tuple]:
     return [tuple(row) for row in df.select(*keys).distinct().orderBy(*keys).collect()]
 
 
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Visible files of a folder, in order."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/[!._]*")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(str(f.getPath()) for f in files.globStatus(pattern) or [])
+
+
 def partition_folders(spark: SparkSession, root: str, *keys: str) -> list[tuple]:
     """Partition values in order, from the folder names alone; no file is opened."""
     pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root.rstrip("/") + "".join(f"/{key}=*" for key in keys))

@@ -11,7 +11,8 @@ SMALL = "/root/testdata/sf0.001"
 # These write hundreds of hour folders; check.py covers them.
 SLOW = {"silver_partition_slice", "stream_ingest_dedup", "partition_replace_roundtrip", "gold_overwrite_roundtrip",
         "hour_archive_roundtrip", "catalog_sync_roundtrip", "gold_backfill", "late_hours_recomputed",
-        "session_performance_from_hours", "funnel_daily_from_hours", "users_from_sketches_ok", "stream_silver"}
+        "session_performance_from_hours", "funnel_daily_from_hours", "users_from_sketches_ok", "stream_silver",
+        "stream_restart", "point_reads"}
 TEXT = set(entry.LLM_QUERIES)  # tested in a folder of their own
 
 
