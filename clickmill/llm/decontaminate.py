@@ -3,8 +3,9 @@
 An item and a document are sets of five-word shingles, and an item is found where a document holds at least ``threshold``
 of its shingles. A fixed number of minima per document would lose a short item in a long document, so the sketch of a
 document grows with its size: items are partitioned by size, an item's sketch is its ``SKETCH`` least shingle hashes, and
-a document keeps every hash up to the greatest sketch value of an item partition, that is, a fixed share of its shingles for
-each partition. All minima of an item that lies in a document are then in the document's sketch too. An item and a
+a document keeps, for a partition, every hash up to the greatest sketch value of its items, a fixed share of the document's
+shingles. These document sketches nest, and one join by hash serves all partitions, so only the widest is formed: the
+partition of the shortest items decides how much of a document is compared. All minima of an item that lies in a document are then in the document's sketch too. An item and a
 document that share a minimum are a candidate pair (at containment 0.8 one in 400,000 pairs shares none), and
 candidates are verified by counting shared shingles as strings.
 

@@ -4,8 +4,10 @@ Documents are ordered by a key of 48 hexadecimal digits: the MD5 of the text, th
 this order, yet a group of any size can be cut between two of its ids. The shard boundaries are found by counting:
 every round puts probes into the intervals that still hold a boundary, counts exact bytes between probes over all
 partitions in one small aggregation, and keeps the probe interval that holds the boundary, until it lies within
-``tolerance`` bytes of its target or a single key is left. Only counts of at most shards * ``PROBES`` cells reach the driver.
-Then the documents are exchanged once, by key range, and numbered inside their shard.
+``tolerance`` bytes of its target or a single key is left. The same rounds cut each shard into ranges of about
+``RANGE_BYTES``, with a quarter of that as tolerance, so a range is never wider for a group of equal texts. Only counts reach the driver:
+at most shards * ``PROBES`` cells and two per range and round. Then the documents are exchanged once, one partition per range, and
+numbered inside their shard.
 
 The law is ``bytes``: a document belongs to the shard in which the bytes before it, by key order, fall. Defined cases: a
 null text has no bytes and sorts as the empty text, a null id before all ids; rows equal in text and id have one key and
@@ -23,13 +25,12 @@ from pyspark.sql import functions as F
 
 from clickmill.llm.common import discard, materialize, text_of
 
-#: Cells that an interval is cut into in one round.
+#: Cells that an interval is cut into in one round; fewer where there are more intervals than shards.
 PROBES = 256
 #: Rows, bytes of a row besides its text.
 ROW_BYTES = 8
-#: Bytes of text that one range of the exchange should hold, and the most ranges per shard.
-RANGE_BYTES = 32 << 20
-MOST_RANGES = 1024
+#: Bytes that one range of the exchange should hold.
+RANGE_BYTES = 64 << 20
 DIGITS = 48
 TOP = 1 << (4 * DIGITS)
 
@@ -67,10 +68,13 @@ def _cells(keys: DataFrame, bounds: list[str]) -> dict[int, tuple[int, int, str,
     return {r["cell"]: (r["bytes"], r["rows"], r["low"], r["high"]) for r in rows}
 
 
-def splitters(keys: DataFrame, shards: int, tolerance: int = 0) -> tuple[list[str], int]:
-    """The least key of each shard but the first, and the total of bytes. ``keys``: (key, size)."""
+def splitters(keys: DataFrame, shards: int, tolerance: int = 0, range_bytes: int = RANGE_BYTES) -> tuple[list[str], list[str]]:
+    """The least key of each shard but the first, and of each range but the first. ``keys``: (key, size)."""
     total = int(keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"])
-    targets = [total * s // shards for s in range(1, shards)]
+    ranges = max(1, -(-total // (range_bytes * shards)))  # per shard
+    targets = [total * r // (shards * ranges) for r in range(1, shards * ranges)]
+    slack = [max(tolerance, range_bytes // 4) if r % ranges else tolerance for r in range(1, shards * ranges)]
+    probes_each = max(2, PROBES // ranges)
     # per target: interval [low, high) of keys that holds the boundary, and the bytes below low
     state = [[0, TOP, 0] for _ in targets]
     found: list[int | None] = [None] * len(targets)
@@ -78,7 +82,7 @@ def splitters(keys: DataFrame, shards: int, tolerance: int = 0) -> tuple[list[st
         probes: set[int] = set()
         for (low, high, _), f in zip(state, found):
             if f is None:
-                step = max(1, (high - low) // PROBES)
+                step = max(1, (high - low) // probes_each)
                 probes.update(range(low, high, step))
                 probes.add(high)
         bounds = sorted(p for p in probes if p < TOP)
@@ -92,7 +96,7 @@ def splitters(keys: DataFrame, shards: int, tolerance: int = 0) -> tuple[list[st
                 continue
             # the boundary is the least key whose bytes below reach the target
             i = bisect_right(below, target - 1)
-            if i < len(bounds) and below[i] - target <= tolerance:
+            if i < len(bounds) and below[i] - target <= slack[t]:
                 found[t] = bounds[i]
                 continue
             size, rows, low, high = cells[i]  # the cell where the bytes pass the target
@@ -100,18 +104,18 @@ def splitters(keys: DataFrame, shards: int, tolerance: int = 0) -> tuple[list[st
                 found[t] = int(high, 16) + 1
             else:
                 state[t] = [int(low, 16), int(high, 16) + 1, below[i - 1] if i else 0]
-    return [as_key(min(f, TOP - 1)) if f is not None else as_key(0) for f in found], total
+    cuts = [as_key(min(f, TOP - 1)) if f is not None else as_key(0) for f in found]
+    return cuts[ranges - 1::ranges], cuts
 
 
-def assign_shards(docs: DataFrame, shards: int = 24, tolerance: int = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = 24, tolerance: int = 0, text: str = "text", doc_id: str = "doc_id",
+                  range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The documents with ``size``, ``shard`` and ``slot``; each range of the exchange is sorted by key."""
     body = text_of(text)
     size = (F.octet_length(body) + ROW_BYTES).cast("bigint")
     keys = materialize(docs.select(key_of(body, F.col(f"`{doc_id}`")).alias("key"), size.alias("size")), "shard-keys")
-    bounds, total = splitters(keys, shards, tolerance)
-    ranges = max(1, min(MOST_RANGES, total // (RANGE_BYTES * shards)))
-    grid = [as_key(TOP * i // (shards * ranges)) for i in range(1, shards * ranges)] if ranges > 1 else []
-    cuts = sorted({*bounds, *grid})
+    bounds, cuts = splitters(keys, shards, tolerance, range_bytes)
+    bounds, cuts = sorted(bounds), sorted(set(cuts))
     cells = _cells(keys, cuts)
     starts, slots = [0] * shards, []
     shard_of = []
@@ -125,7 +129,7 @@ def assign_shards(docs: DataFrame, shards: int = 24, tolerance: int = 0, text: s
     placed = (docs.drop("size", "shard", "slot").withColumn("size", size)
               .withColumn("__key", key_of(body, F.col(f"`{doc_id}`"))).withColumn("__range", place(F.col("__key"), cuts)))
     order = Window.partitionBy("__range").orderBy("__key")
-    return (placed.withColumn("__row", F.row_number().over(order) - 1)
+    return (placed.repartitionById(len(cuts) + 1, F.col("__range").cast("int")).withColumn("__row", F.row_number().over(order) - 1)
             .withColumn("shard", lookup(shard_of).cast("int"))
             .withColumn("slot", lookup(slots).cast("bigint") + F.col("__row"))
             .drop("__row", "__key", "__range"))
