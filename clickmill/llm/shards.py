@@ -135,7 +135,7 @@ def assign_shards(docs: DataFrame, shards: int = 24, tolerance: int = 0, text: s
             .drop("__row", "__key", "__range"))
 
 
-def shard_digest(docs: DataFrame, shards: int = 24) -> DataFrame:
-    done = assign_shards(docs, shards)
+def shard_digest(docs: DataFrame, shards: int = 24, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    done = assign_shards(docs, shards, range_bytes=range_bytes)
     return done.select("doc_id", "size", F.crc32(F.encode(text_of(), "UTF-8")).alias("text_crc32"),
                        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -186,10 +186,26 @@ def test_long_pretokens_on_both_engines(spark_, size):
         assert {x.text: x.ids for x in done} == want
 
 
-def test_histogram_shards(spark_, monkeypatch):
-    monkeypatch.setattr(shards, "RANGE_BYTES", 100)
+def test_ranges_are_even_though_texts_repeat(spark_):
+    rows = [*[(i, "the same text " * 5) for i in range(600)], *[(1000 + i, f"text {i} " * (1 + i % 9)) for i in range(300)], (5000, "long " * 2000)]
+    docs = make(spark_, rows)
+    keys = docs.select(shards.key_of(shards.text_of(), F.col("doc_id")).alias("key"), (F.octet_length("text") + 8).alias("size"))
+    bounds, cuts = shards.splitters(keys, 4, range_bytes=2000)
+    assert set(bounds) <= set(cuts)
+    held = Counter()
+    for row in keys.collect():
+        held[sum(cut <= row.key for cut in cuts)] += row["size"]
+    ordinary = sorted(held.values())[:-1]                       # all but the range of the long text
+    assert len(held) > 20 and max(ordinary) <= 2000 + 2 * 500 + 80
+    one, many = (shards.assign_shards(docs, 4, range_bytes=b).select("doc_id", "shard", "slot") for b in (1 << 30, 2000))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    plan = shards.assign_shards(docs, 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_histogram_shards(spark_):
     rows = [*sample_rows(), *[(2000 + i, "hot group") for i in range(300)]]
-    out = shards.shard_digest(make(spark_, rows), 8).collect()
+    out = shards.shard_digest(make(spark_, rows), 8, range_bytes=100).collect()
     key = lambda d, t: (hashlib.md5((t or "").encode()).hexdigest(), d if d is not None else -2**63)
     order = sorted(rows, key=lambda x: key(*x))
     total, below, want = sum(len((t or "").encode()) + 8 for _, t in rows), 0, defaultdict(list)
