@@ -278,18 +278,14 @@ ORACLES = {
         SELECT * FROM ({_HOUR_COUNTS}) WHERE NOT ("date" = '2024-01-05' AND "hour" = '07')"""),
     "snapshot_if_absent": """
         SELECT p_partkey AS product_id, p_name AS name, p_retailprice AS price, '2024-01-30' AS "date" FROM part""",
-    "gold_backfill": _with(_EVENTS, """
-        SELECT 'customer_profile' AS mart, "date", count(*) AS out_rows
-        FROM (SELECT DISTINCT "date", "hour", user_id FROM ev) GROUP BY "date"
-        UNION ALL
-        SELECT 'funnel_conversion', "date", count(*)
-        FROM (SELECT DISTINCT "date", "hour", platform FROM ev) GROUP BY "date"
-        UNION ALL
-        SELECT 'rfm_segments', "date", count(*)
-        FROM (SELECT DISTINCT "date", "hour", user_id FROM ev) GROUP BY "date"
-        UNION ALL
-        SELECT 'session_performance', "date", count(*)
-        FROM (SELECT DISTINCT "date", platform FROM ev) GROUP BY "date"
-        UNION ALL
-        SELECT 'silver', "date", count(*) FROM ev GROUP BY "date\""""),
+    "gold_backfill": " UNION ALL ".join(
+        f"""SELECT '{mart}' AS mart, "date", count(*) AS out_rows, CAST(sum({value}) AS BIGINT) AS total
+            FROM ({rows}) GROUP BY "date\""""
+        for mart, value, rows in (
+            ("silver", "user_id + 3 * product_id", _with(_EVENTS, "SELECT * FROM ev")),
+            ("customer_profile", "total_transactions * (customer_id % 97 + 1)", _profile(("date", "hour"))),
+            ("funnel_conversion", "step_1_visit + 2 * step_2_view_product + 3 * step_3_initiate_checkout "
+             "+ 5 * step_4_purchase_success", _funnel(("date", "hour"))),
+            ("rfm_segments", "(r_score + 7 * f_score + 49 * m_score) * (customer_id % 97 + 1)", _rfm(("date", "hour"))),
+            ("session_performance", "total_sessions + 2 * total_users + 3 * bounce_sessions", _performance()))),
 }

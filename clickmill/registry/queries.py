@@ -634,7 +634,7 @@ def snapshot_if_absent(spark, sf_dir):
 
 @register("gold_backfill")
 def gold_backfill(spark, sf_dir):
-    """Silver and the four marts for all days, written to a lake; rows per table and day."""
+    """Silver and the four marts for all days, written to a lake; rows and a sum of their values per table and day."""
     root = shared_folder(spark, "lake")
     lake = hourly.Lake(f"{root}/cold", f"{root}/hot")
     sinks.overwrite_partitions(testbed.bronze_events(spark, sf_dir), lake.folder("metadata.events"), HOUR,
@@ -643,10 +643,15 @@ def gold_backfill(spark, sf_dir):
         dims.write_snapshot(frame, lake.folder(f"metadata.{name}"), "2024-01-01", schemas.DIMENSIONS[name])
     hourly.backfill(spark, lake, "2024-01-01", "2024-12-31")
     tables = {"silver": "silver.wide_table_events", **{name: mart.table for name, mart in hourly.MARTS.items()}}
-    counts = None
+    values = {"silver": "user_id + 3 * product_id", "customer_profile": "total_transactions * (customer_id % 97 + 1)",
+              "funnel_conversion": "step_1_visit + 2 * step_2_view_product + 3 * step_3_initiate_checkout "
+                                   "+ 5 * step_4_purchase_success",
+              "rfm_segments": "(r_score + 7 * f_score + 49 * m_score) * (customer_id % 97 + 1)",
+              "session_performance": "total_sessions + 2 * total_users + 3 * bounce_sessions"}
+    sums = []
     for name, full_name in tables.items():
         contract, _ = schemas.LAKE_TABLES[full_name]
-        rows = read_table(spark, lake.folder(full_name), contract).groupBy("date").agg(
-            F.count(F.lit(1)).alias("out_rows")).select(F.lit(name).alias("mart"), "date", "out_rows")
-        counts = rows if counts is None else counts.unionByName(rows)
-    return counts
+        sums.append(read_table(spark, lake.folder(full_name), contract).groupBy("date").agg(
+            F.count(F.lit(1)).alias("out_rows"), F.sum(F.expr(values[name])).cast("bigint").alias("total"))
+            .select(F.lit(name).alias("mart"), "date", "out_rows", "total"))
+    return reduce(DataFrame.unionByName, sums)

@@ -176,3 +176,30 @@ def test_jobs_by_command_line(spark, lake, capsys, monkeypatch):
     assert jobs.main(["mart", "2024-05-05", "10", "--name", "funnel_conversion", *where]) == 0
     assert jobs.main(["backfill", DAY, DAY, *where]) == 0
     assert '"funnel_conversion": 2' in capsys.readouterr().out
+
+
+def test_more_jobs_by_command_line(spark, lake, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(jobs, "build_session", lambda *args, **kwargs: spark)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    where = ["--lake", lake.root, "--hot", lake.hot]
+    prefix = "jobs_" + tmp_path.name.replace("-", "_").lower() + "_"
+    assert jobs.main(["compact", *where]) == 0
+    assert jobs.main(["register", *where, "--catalog", prefix]) == 0
+    assert jobs.main(["pending", DAY, "11", *where, "--catalog", prefix]) == 0
+    compacted, registered, pending = capsys.readouterr().out.strip().splitlines()
+    assert '"merged"' in compacted and f"`{prefix}gold`" in registered and f"{DAY} 10" in pending
+    found = spark.table(f"`{prefix}metadata`.`events`").where(f"date = '{DAY}' AND hour = '10'").count()
+    assert found == spark.read.parquet(lake.folder("metadata.events")).where(f"date = '{DAY}' AND hour = '10'").count() > 0
+    monkeypatch.setattr(jobs, "read_topic", lambda spark, servers, topic: (servers, topic))
+    started = []
+
+    class Ended:
+        lastProgress = {"batchId": 4}
+
+        def awaitTermination(self):
+            started.append("ended")
+
+    monkeypatch.setattr(jobs, "start_ingest", lambda *args, **more: started.append((args, more)) or Ended())
+    assert jobs.main(["ingest", *where, "--servers", "s:1", "--topic", "t", "--checkpoint", "c"]) == 0
+    assert started[0] == ((("s:1", "t"), lake.hot, f"{lake.hot}-quarantine", "c"), {"every": None}) and started[1] == "ended"
+    assert '"last_batch": 4' in capsys.readouterr().out
