@@ -1,21 +1,29 @@
 """Personal data in texts: base rules, and boosted trees over generously generated candidates.
 
 Base spans come from strict patterns with validators (email, ip, card, phone) and always stay. Besides, high-recall generators
-propose spans, which may overlap each other and the base: loose addresses, digit groups, dotted numbers and opaque tokens.
-Gradient-boosted trees score each candidate by the form of its text and by the characters around it; the threshold of
-each generator is calibrated for precision on all candidates of the table, and candidates at or above it are selected if they
-do not overlap a base span.
-
-There is no table of labelled personal data, so labels are weak: a candidate is positive where a base rule accepts exactly
-its span, or where an opaque token is assigned to a name such as token, key or password. Candidates of every document are
-generated and described inside their row by built-in functions and written without the texts. Only the fit is bounded: of
-each generator and label it takes the candidates of least hash, ``TRAIN_CANDIDATES`` in all, so a kind that is rare in a
-large table is fitted as in a small one. The calibration counts all candidates by generator, score and label, those of the
-fit included. A second pass over the texts scores every candidate, with the trees as one expression and without a shuffle.
+propose spans, which may overlap each other and the base: loose and spelled-out addresses, digit groups, single runs and
+phone shapes inside longer groups, dotted numbers with spaces or brackets, and opaque tokens. Gradient-boosted trees score each
+candidate by the form of its text and by the characters around it; calibrated thresholds select from those that do not
+touch a base span. Selected spans may overlap each other; ``redact`` covers overlapping ones as one.
+
+There is no table of labelled personal data, so the labels are made from the texts. What a base rule accepts is
+rewritten in ways that it would miss, in its own surroundings (missed data are taken to look like found data): a phone number without its plus sign or country code or with dots, an
+address with "at" and "dot", dots in brackets, a card number next to other digits. A token assigned to a name such as
+token, key or password counts as it stands and once more without the name. These variants are the positives. The other
+candidates that touch no base span are unlabelled, and some of them are personal data. So a first fit ranks them, and those
+that it scores like held-out variants (the lowest twentieth aside, and never under ``FLOOR``) are left out as unclear; the
+rest are the negatives of the second fit, which decides. A quarter of the candidates, by a hash of the span and of what
+stands before, so that copies stay together, is kept out of both fits. The threshold of each generator is the
+lowest at which ``PRECISION`` of these held-out candidates are positive; a generator with fewer than ``HELD`` positives among
+them is fitted and calibrated on all its candidates.
+
+The texts are scanned once: spans and candidates are written without the texts, and fits, calibration and selection read that
+table. Only the fits are bounded: of each generator and label they take the candidates of least hash, ``TRAIN_CANDIDATES``
+in all, so a kind that is rare in a large table is fitted as in a small one. The calibration counts all candidates.
 
 Defined cases: a null text is empty and has no spans; an empty table gives an empty result; repeated rows are treated one by
-one; without candidates of both labels nothing is added; other columns pass through (a column called ``base`` or ``added``
-is replaced). Positions are code points, the end exclusive.
+one; without candidates of both labels nothing is added; other columns pass through (a column called ``base``,
+``__candidates`` or ``added`` is replaced). Positions are code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -44,18 +52,33 @@ BASE_PATTERNS = {
 #: Plain test that a text can match at all.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
+#: Between the parts of a spelled-out address.
+AT = r"(?:\x20?[\[({]\x20?(?:at|@)\x20?[\])}]\x20?)"
+DOT = r"(?:\x20?[\[({]\x20?(?:dot|\.)\x20?[\])}]\x20?|\x20dot\x20)"
+HOST = r"[A-Za-z0-9-]{1,63}+"
+
 GENERATORS = {
     "address": r"(?<![^\s<>()\[\]{}\",;:])[^\s@<>()\[\]{}\",;:]++@[^\s@<>()\[\]{}\",;:]++",
-    "digits": r"(?:(?<![0-9])|\G)\+?+\(?+[0-9](?:[\x20().:/-]{0,3}+[0-9])++",
-    "dotted": r"(?<![0-9.])[0-9]++(?:\.[0-9]++){2,}+",
+    "spelled": (r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+"
+                rf"(?:{AT}{HOST}(?:(?:{DOT}|\.){HOST})+|(?:\x20at\x20|@){HOST}(?:{DOT}{HOST})+)"),
+    "digits": r"(?:(?<![A-Za-z0-9])|\G)\+?+\(?+[0-9](?:[\x20().:/-]{0,3}+[0-9]){6,}+",
+    "run": r"(?<![A-Za-z0-9])[0-9]{13,19}+(?![A-Za-z0-9])",
+    "grouped": r"(?<![A-Za-z0-9])\+?(?:[0-9]{1,3}[\x20.-])?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}(?![A-Za-z0-9])",
+    "dotted": r"(?<![0-9.])[0-9]++(?:\x20?+[\[(]?+(?:\.|dot)[\])]?+\x20?+[0-9]++){2,}+",
     "opaque": r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]*+[0-9])[A-Za-z0-9+/=_-]{16,}+",
 }
+#: Plain test that a text can hold a spelled-out address.
+SPELLED = r"(?i)\bdot\b|[\[({]\x20?(?:at|@|\.)"
 ASSIGNED = r"(?i)(?:token|key|secret|password|passwd|auth|credential)[\"']?\s*[=:]\s*[\"']?$"
 AROUND = 24
 
 TRAIN_CANDIDATES = 20_000
 TREES, DEPTH = 12, 3
 PRECISION = 0.98
+#: One candidate in so many is held out from the fits; positives that a generator needs among them.
+FOLDS, HELD = 4, 20
+#: Share of the held-out variants that may score below what counts as unclear, and its least score.
+SPIES, FLOOR = 0.05, 0.2
 #: Matches per block of the prefix sums.
 RUN = 64
 
@@ -142,46 +165,116 @@ def _share(s: Column, other: str) -> Column:
 
 
 def features(s: Column, before: Column, after: Column, generator: Column) -> dict[str, Column]:
-    """Form of the span and its surroundings, as doubles."""
+    """Form of the span and its surroundings, as doubles; digits in a written address say nothing about it."""
     flag = lambda c: F.when(c, 1.0).otherwise(0.0)
+    number = lambda c: F.when(generator.isin("address", "spelled"), 0.0).otherwise(c.cast("double"))
+    plain = F.regexp_replace(s, r"(?i)\x20?[\[(]?(?:\.|dot)[\])]?\x20?", ".")
+    named = r"(?i)(?:mail|contact|phone|tel|call|fax|mobile|card|visa|ip|host|addr|token|key|secret|passw|auth)[a-z]*[\"']?\W{0,4}$"
     return {
-        "is_address": flag(generator == "address"), "is_digits": flag(generator == "digits"),
-        "is_dotted": flag(generator == "dotted"), "length": F.length(s).cast("double"),
-        "n_digits": F.length(digits_of(s)).cast("double"), "digit_share": _share(s, "[^0-9]"),
+        **{f"is_{g}": flag(generator == g) for g in GENERATORS}, "length": F.length(s).cast("double"),
+        "n_digits": number(F.length(digits_of(s))), "digit_share": number(_share(s, "[^0-9]")),
         "hex_share": _share(s, "[^0-9a-f]"), "upper_share": _share(s, "[^A-Z]"),
         "n_dots": F.length(F.regexp_replace(s, r"[^.]", "")).cast("double"),
+        "n_slashes": F.length(F.regexp_replace(s, r"[^:/]", "")).cast("double"),
         "n_gaps": F.length(F.regexp_replace(s, r"[^\x20().:/-]", "")).cast("double"),
-        "plus": flag(s.startswith("+")), "host_dot": flag(s.rlike(r"@.*[A-Za-z0-9]\.[A-Za-z]{2,}$")),
-        "parts_small": flag(s.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$") & ~s.rlike(r"(^|\.)(2[6-9][0-9]|25[6-9]|[3-9][0-9]{2})(\.|$)")),
-        "quoted": flag(before.rlike("[\"']$")), "assigned": flag(before.rlike(r"[=:]\s*[\"']?$")),
-        "named": flag(before.rlike(r"(?i)(?:mail|phone|tel|call|fax|card|visa|ip|addr|token|key|secret|passw|auth)[a-z]*[\"']?\W{0,4}$")),
+        "n_groups": number(F.size(F.array_remove(F.split(s, r"[^0-9]+"), ""))),
+        "plus": flag(s.startswith("+")), "bracket": flag(s.rlike(r"[()\[\]{}]")),
+        "luhn": flag(F.when(F.length(digits_of(s)).between(13, 19), luhn(s)).otherwise(False)),
+        "host_dot": flag(s.rlike(r"@.*[\p{L}\p{N}]\.\p{L}{2,}$")), "says_dot": flag(s.rlike(r"(?i)[^\p{L}]dot[^\p{L}]")),
+        "parts_small": flag(F.when(plain.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), small_parts(plain)).otherwise(False)),
+        "quoted": flag(before.rlike("[\"']$")), "assigned": flag(before.rlike(r"[=:]\s*[\"']?$")), "named": flag(before.rlike(named)),
         "glued": flag(before.rlike(r"[\p{L}\p{N}_]$") | after.rlike(r"^[\p{L}\p{N}_]")),
+        "near_digit": flag(before.rlike(r"[0-9][\x20.-]?$") | after.rlike(r"^[\x20.-]?[0-9]")),
     }
 
 
-FEATURES = ["is_address", "is_digits", "is_dotted", "length", "n_digits", "digit_share", "hex_share", "upper_share", "n_dots",
-            "n_gaps", "plus", "host_dot", "parts_small", "quoted", "assigned", "named", "glued"]
+FEATURES = [*[f"is_{g}" for g in GENERATORS], "length", "n_digits", "digit_share", "hex_share", "upper_share", "n_dots", "n_slashes",
+            "n_gaps", "n_groups", "plus", "bracket", "luhn", "host_dot", "says_dot", "parts_small", "quoted", "assigned", "named",
+            "glued", "near_digit"]
+
+
+def variants(c: Column) -> Column:
+    """Arrays (generator, s, before, after) that rewrite what a base rule or an assignment vouches for; else empty."""
+    s, before, after = c["s"], c["before"], c["after"]
+
+    def one(generator: str, form: Column, left: Column = before, right: Column = after) -> Column:
+        return F.struct(F.lit(generator).alias("generator"), form.alias("s"), left.alias("before"), right.alias("after"))
+
+    local, host, digits = F.substring_index(s, "@", 1), F.substring_index(s, "@", -1), digits_of(s)
+    bare = F.regexp_replace(s, r"^\+", "")
+    short = F.regexp_replace(s, r"^\+[0-9]{1,3}[\x20.-]", "")
+    by_four = lambda sign: F.regexp_replace(digits, "(.{4})(?=.)", "$1" + sign)
+    email = F.array(one("spelled", F.concat(local, F.lit(" [at] "), host)),
+                    one("spelled", F.concat(local, F.lit("(at)"), F.replace(host, F.lit("."), F.lit("[dot]")))),
+                    one("spelled", F.concat(local, F.lit(" at "), F.replace(host, F.lit("."), F.lit(" dot ")))),
+                    one("address", F.concat(local, F.lit("@"), F.translate(host, "aeou", "\u00e4\u00e9\u00f6\u00fc"))))
+    grouped = short.rlike(f"^{GENERATORS['grouped']}$")
+    phone = F.when(bare.rlike(r"[0-9][\x20().-]+[0-9]"), F.concat(
+        F.array(one("digits", bare), one("digits", F.regexp_replace(bare, r"[\x20()-]+", "."))),
+        F.when(grouped, F.array(one("digits", short), one("grouped", short), one("grouped", short, before, F.lit(" 1")),
+                                one("grouped", short, F.lit("1 "), after), one("grouped", F.regexp_replace(short, r"[()]", ""))))
+        .otherwise(F.array().cast(TEXTS))))
+    card = F.array(one("digits", by_four(".")), one("digits", by_four("/")), one("run", digits, F.lit("1 "), after),
+                   one("run", digits, before, F.lit(" 1")))
+    ip = F.array(*[one("dotted", F.replace(s, F.lit("."), F.lit(sign))) for sign in ("[.]", "(.)", " . ", "[dot]", ". ")])
+    bare_token = F.array(one("opaque", s, F.lit(""), F.lit("")), one("opaque", s, F.lit(' "'), F.lit('"')))
+    return F.coalesce(F.when(c["rule"] == "email", email).when(c["rule"] == "phone", phone).when(c["rule"] == "card", card)
+                      .when(c["rule"] == "ip", ip).when(c["rule"] == "secret", bare_token), F.array().cast(TEXTS))
+
+
+TEXTS = "array<struct<generator:string,s:string,before:string,after:string>>"
 
 
-def candidates(text: Column, base: Column) -> Column:
-    """Array of (generator, start, end, x, label, touches) of one text; ``touches``: it overlaps a base span."""
+def candidates(text: Column, base: Column, doc_id: Column) -> Column:
+    """Array of (generator, start, end, kind, x, label, offered, held, order) of one text.
+
+    ``offered`` candidates stand in the text and touch no base span; the others are variants and serve the fit only.
+    """
     known = F.concat(*[F.transform(base[k], lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))) for k in BASE_KINDS])
+    makers = {"email": "address", "ip": "dotted", "phone": "digits", "card": "digits"}
+
+    def found(generator: str, pattern: str) -> Column:
+        spans = find_spans(text, pattern)
+        if generator == "spelled":
+            spans = F.when(text.rlike(SPELLED), spans).otherwise(F.array().cast("array<struct<start:int,end:int,s:string>>"))
 
-    def describe(generator: str):
         def row(c: Column) -> Column:
             from_ = F.greatest(c["start"] - AROUND, F.lit(0))
             before = F.substring(text, from_ + 1, c["start"] - from_)
-            after = F.substring(text, c["end"] + 1, F.lit(2))
-            x = features(c["s"], before, after, F.lit(generator))
-            exact = F.exists(known, lambda k: (k["start"] == c["start"]) & (k["end"] == c["end"]))
-            label = exact | before.rlike(ASSIGNED) if generator == "opaque" else exact
-            return F.struct(F.lit(generator).alias("generator"), c["start"].alias("start"), c["end"].alias("end"),
+            touches = F.exists(known, lambda k: (k["start"] < c["end"]) & (c["start"] < k["end"]))
+            rule = F.lit(None).cast("string")
+            for kind, maker in makers.items():
+                if maker == generator:
+                    exact = F.exists(base[kind], lambda k: (k["start"] == c["start"]) & (k["end"] == c["end"]))
+                    rule = F.coalesce(rule, F.when(exact, kind))
+            if generator == "opaque":
+                rule = F.when(before.rlike(ASSIGNED) & ~touches, "secret")
+            return F.struct(F.lit(generator).alias("generator"), c["start"].alias("start"), c["end"].alias("end"), c["s"].alias("s"),
+                            before.alias("before"), F.substring(text, c["end"] + 1, F.lit(2)).alias("after"),
+                            rule.alias("rule"), touches.alias("touches"))
+
+        return F.transform(spans, row)
+
+    def forms(c: Column) -> Column:
+        held = F.pmod(F.xxhash64(c["s"], c["before"]), F.lit(FOLDS)) == 0
+
+        def described(v: Column, label: Column, offered: Column, i: Column) -> Column:
+            x = features(v["s"], v["before"], v["after"], v["generator"])
+            n = F.length(digits_of(v["s"]))
+            kind = (F.when(v["generator"].isin("address", "spelled"), "email").when(v["generator"] == "dotted", "ip")
+                    .when(v["generator"] == "opaque", "secret").when(n.between(13, 19) & (x["luhn"] == 1.0), "card").otherwise("phone"))
+            return F.struct(v["generator"].alias("generator"), c["start"].alias("start"), c["end"].alias("end"), kind.alias("kind"),
                             F.struct(*[x[f].alias(f) for f in FEATURES]).alias("x"), label.cast("double").alias("label"),
-                            F.exists(known, lambda k: (k["start"] < c["end"]) & (c["start"] < k["end"])).alias("touches"),
-                            F.length(digits_of(c["s"])).alias("n_digits"))
-        return row
+                            offered.alias("offered"), held.alias("held"),
+                            F.xxhash64(doc_id, c["start"], c["generator"], v["s"], i).alias("order"))
 
-    return F.concat(*[F.transform(find_spans(text, pattern), describe(g)) for g, pattern in GENERATORS.items()])
+        itself = F.struct(c["generator"].alias("generator"), c["s"].alias("s"), c["before"].alias("before"), c["after"].alias("after"))
+        rows = F.concat(F.array(itself), variants(c))
+        return F.filter(F.transform(rows, lambda v, i: described(
+            v, (i > 0) | F.coalesce(c["rule"] == "secret", F.lit(False)), (i == 0) & ~c["touches"], i)),
+            lambda r: r["offered"] | (r["label"] == 1.0))
+
+    return F.flatten(F.transform(F.concat(*[found(g, pattern) for g, pattern in GENERATORS.items()]), forms))
 
 
 @dataclass
@@ -209,13 +302,10 @@ def _tree(node):
     return split.featureIndex(), split.threshold(), _tree(node.leftChild()), _tree(node.rightChild())
 
 
-def described(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """A row per candidate of all documents: generator, features, label and the hash that orders candidates."""
-    return (docs.select(F.xxhash64(F.col(f"`{doc_id}`"), text_of(text)).alias("row"), text_of(text).alias("t"))
-            .withColumn("base", base_spans(F.col("t"))).select(
-                # explode proper would make Spark test the array's size first and compute it again for that
-                "row", F.explode_outer(candidates(F.col("t"), F.col("base"))).alias("c")).where("c IS NOT NULL")
-            .select("c.generator", "c.x.*", "c.label", F.xxhash64("row", "c.start", "c.generator").alias("order")))
+def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The documents with ``base`` and ``__candidates``."""
+    based = docs.withColumn("base", base_spans(text_of(text)))
+    return based.withColumn("__candidates", candidates(text_of(text), F.col("base"), F.col(f"`{doc_id}`")))
 
 
 def fit_sample(rows: DataFrame, sizes: dict[tuple[str, float], int]) -> DataFrame:
@@ -231,53 +321,96 @@ def fit_sample(rows: DataFrame, sizes: dict[tuple[str, float], int]) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def fit_selector(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Selector | None:
-    """Fits on a bounded sample and calibrates on all candidates; None where the table lacks candidates of both labels."""
-    rows = materialize(described(docs, text, doc_id), "pii-candidates")
-    sizes = {(r["generator"], r["label"]): r["n"]
-             for r in rows.groupBy("generator", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _fit(train: DataFrame) -> Selector:
+    assembled = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(train.select("x.*", "label"))
+    model = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(assembled)
+    return Selector([(w, _tree(t._java_obj.rootNode())) for w, t in zip(model.treeWeights, model.trees)], {})
+
+
+def _bins(rows: DataFrame, selector: Selector) -> list:
+    """Candidates by generator, label, fold and score in hundredths: at most 404 rows per generator."""
+    return (rows.groupBy("generator", "label", "held", F.floor(selector.score(F.col("x")) * 100).cast("int").alias("bin"))
+            .agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def _unclear(table: list, held: dict[str, bool]) -> dict[str, float]:
+    """Score per generator from which an unlabelled candidate counts as unclear."""
+    out = {}
+    for g in held:
+        positives = sorted((r["bin"], r["n"]) for r in table if r["generator"] == g and r["label"] == 1 and r["held"] >= held[g])
+        spare = SPIES * sum(n for _, n in positives)
+        for at, n in positives:
+            spare -= n
+            if spare < 0:
+                out[g] = max(at / 100, FLOOR)
+                break
+    return out
+
+
+def fit_selector(rows: DataFrame) -> Selector | None:
+    """Fits on a bounded sample and calibrates on all candidates; None where the table lacks candidates of both labels.
+
+    ``rows`` are the documents that ``scan`` made, written to a table.
+    """
+    # explode proper would make Spark test the array's size first
+    rows = rows.select(F.explode_outer("__candidates").alias("c")).where("c IS NOT NULL").select("c.*")
+    counts = rows.groupBy("generator", "label", "held").agg(F.count(F.lit(1)).alias("n")).collect()
+    ours = {r["generator"]: r["n"] for r in counts if r["held"] and r["label"] == 1}
+    held = {g: ours.get(g, 0) >= HELD for g in GENERATORS}
+    sizes: dict[tuple[str, float], int] = {}
+    for r in counts:
+        if not (r["held"] and held[r["generator"]]):
+            sizes[r["generator"], r["label"]] = sizes.get((r["generator"], r["label"]), 0) + r["n"]
     if len({label for _, label in sizes}) < 2:
         return None
-    train = materialize(fit_sample(rows, sizes).orderBy("order"), "pii-sample")
-    assembled = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(train)
-    model = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(assembled)
-    trees = [(w, _tree(t._java_obj.rootNode())) for w, t in zip(model.treeWeights, model.trees)]
-    selector = Selector(trees, {})
-    scored = rows.select("generator", "label", F.floor(
-        selector.score(F.struct(*[F.col(f) for f in FEATURES])) * 100).cast("int").alias("bin"))
-    table = scored.groupBy("generator", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits")).collect()
-    for g in GENERATORS:  # at most 101 rows per generator
-        n = hits = 0.0
+    fitted = ~F.col("held") | F.col("generator").isin([g for g in GENERATORS if not held[g]])
+    train = materialize(fit_sample(rows.where(fitted), sizes).orderBy("order"), "pii-sample")
+    first = _fit(train)
+    unclear = _unclear(_bins(rows, first), held)
+    bound = F.coalesce(*[F.when(F.col("generator") == g, F.lit(t)) for g, t in unclear.items()], F.lit(2.0))
+    clear = (F.col("label") == 1) | (F.floor(first.score(F.col("x")) * 100) < F.floor(bound * 100 + 0.5))
+    sure = train.where(clear)
+    if not sure.where("label = 0").take(1):
+        return None
+    selector = _fit(sure)
+    table = _bins(rows.where(clear), selector)
+    for g in GENERATORS:
+        n = hits = 0
         best = None
-        for r in sorted((r for r in table if r["generator"] == g), key=lambda r: -r["bin"]):
-            n, hits = n + r["n"], hits + r["hits"]
-            if hits >= PRECISION * n and r["bin"] >= 50:
-                best = r["bin"] / 100
+        mine = [r for r in table if r["generator"] == g and r["held"] >= held[g]]
+        for at in range(100, 49, -1):
+            n += sum(r["n"] for r in mine if r["bin"] == at)
+            hits += sum(r["n"] for r in mine if r["bin"] == at and r["label"] == 1)
+            if n and hits >= PRECISION * n:
+                best = at / 100
         if best is not None:
             selector.thresholds[g] = best
     return selector
 
 
-def find_personal_data(docs: DataFrame, selector: Selector | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents with ``base``, spans per base kind, and ``added``, an array of (kind, start, end)."""
-    selector = selector or fit_selector(docs, text, doc_id)
+def _select(scanned: DataFrame, selector: Selector | None) -> DataFrame:
+    """``__candidates`` turned into ``added``."""
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    staged = docs.withColumn("__text", text_of(text)).withColumn("base", base_spans(F.col("__text")))
     if selector is None or not selector.thresholds:
-        return staged.withColumn("added", none).drop("__text")
+        return scanned.withColumn("added", none).drop("__candidates")
 
     def bound(generator: Column) -> Column:
         return F.coalesce(*[F.when(generator == g, F.lit(t)) for g, t in selector.thresholds.items()], F.lit(2.0))
 
-    kind = lambda c: (F.when(c["generator"] == "address", "email").when(c["generator"] == "dotted", "ip")
-                      .when(c["generator"] == "opaque", "secret").when(c["n_digits"] >= 13, "card").otherwise("phone"))
-    picked = F.filter("__candidates", lambda c: ~c["touches"] & (selector.score(c["x"]) >= bound(c["generator"])))
-    spans = F.array_sort(F.array_distinct(F.transform(picked, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), kind(c).alias("kind")))))
-    clear = F.filter("__spans", lambda c, i: F.coalesce(F.get("__spans", i - 1)["end"] <= c["start"], F.lit(True)))
-    return (staged.withColumn("__candidates", candidates(F.col("__text"), F.col("base")))
-            .withColumn("__spans", spans)
-            .withColumn("added", F.transform(clear, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))))
-            .drop("__text", "__candidates", "__spans"))
+    picked = F.filter("__candidates", lambda c: c["offered"] & (selector.score(c["x"]) >= bound(c["generator"])))
+    spans = F.array_sort(F.array_distinct(F.transform(picked, lambda c: F.struct(
+        c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")))))
+    return scanned.withColumn("added", F.transform(spans, lambda c: F.struct(
+        c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))).drop("__candidates")
+
+
+def find_personal_data(docs: DataFrame, selector: Selector | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The documents with ``base``, spans per base kind, and ``added``, an array of (kind, start, end) ordered by start."""
+    scanned = scan(docs, text, doc_id)
+    if selector is None:
+        scanned = materialize(scanned, "pii-candidates")
+        selector = fit_selector(scanned)
+    return _select(scanned, selector)
 
 
 def _shown(kind: str, spans: Column) -> Column:
@@ -285,7 +418,8 @@ def _shown(kind: str, spans: Column) -> Column:
 
 
 def personal_data_digest(docs: DataFrame) -> DataFrame:
-    found = find_personal_data(docs.select("doc_id", "text"))
+    scanned = materialize(scan(docs.select("doc_id", "text")).drop("text"), "pii-candidates")
+    found = _select(scanned, fit_selector(scanned))
     plain = lambda spans: F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
     def every(kind: str) -> Column:

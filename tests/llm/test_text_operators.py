@@ -106,6 +106,67 @@ def test_trees_add_secrets_and_redaction_covers_all(spark_):
     assert "<secret>" in line and "<email>" in line and "a7@b.co" not in line
 
 
+def luhn_number(r):
+    while True:
+        s = "4" + "".join(r.choice("0123456789") for _ in range(15))
+        if accepted("card", s):
+            return s
+
+
+def planted_personal_data(r, n):
+    """Rows of plain personal data, of variants that the base rules miss (with their kind and text) and of decoys."""
+    phone = lambda: (r.randrange(200, 990), r.randrange(200, 990), r.randrange(1000, 9999))
+    ip = lambda sign: sign.join(str(r.randrange(1, 255)) for _ in range(4))
+    token = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
+    name = lambda: r.choice(["ann", "bob", "li", "max"]) + str(r.randrange(1000))
+    host = lambda: f"mail{r.randrange(9)}.example.com"
+    plain = [lambda: f"{name()}@{host()}", lambda: "+1 (%d) %d-%d" % phone(), lambda: ip("."),
+             lambda: luhn_number(r), lambda: f'token = "{token()}"']
+    missed = [("email", lambda: f"{name()} [at] {host()}"), ("email", lambda: f"{name()}(at){host().replace('.', '[dot]')}"),
+              ("email", lambda: f"{name()} at {host().replace('.', ' dot ')}"), ("phone", lambda: "(%d) %d-%d" % phone()),
+              ("ip", lambda: ip("[.]")), ("ip", lambda: ip(" . ")),
+              ("card", lambda: re.sub("(....)(?=.)", r"\1.", luhn_number(r))), ("secret", lambda: f'{token()}')]
+    decoys = [lambda: "version %d.%d.%d" % (r.randrange(9), r.randrange(30), r.randrange(99)), lambda: f"order {r.randrange(10**7, 10**8)}",
+              lambda: "on 20%d-%02d-%02d %02d:%02d" % (r.randrange(10, 30), r.randrange(1, 13), r.randrange(1, 28), r.randrange(24), r.randrange(60)),
+              lambda: f"meet at noon{r.randrange(99)}. then go", lambda: f"build_release_name_{r.randrange(10**4)}_final",
+              lambda: "pages %d/%d" % (r.randrange(10, 99), r.randrange(100, 999)), lambda: "polka dot %d" % r.randrange(99)]
+    rows, want, clean = [], {}, set()
+    for i in range(n):
+        parts = [f"{prose(r, 6)} {f()} and {prose(r, 4)}" for f in plain]
+        rows.append((i, " or ".join(parts)))
+    for i in range(n, 2 * n):
+        kind, make_one = missed[i % len(missed)]
+        one = make_one()
+        text = f"the man said {one} and left {prose(r, 4)}"
+        rows.append((i, text))
+        want[i] = (kind, text.index(one), text.index(one) + len(one))
+    for i in range(2 * n, 4 * n):
+        rows.append((i, f"the man said {decoys[i % len(decoys)]()} and left {prose(r, 4)}"))
+        clean.add(i)
+    return rows, want, clean
+
+
+def test_trees_add_what_the_base_rules_miss(spark_):
+    rows, want, clean = planted_personal_data(random.Random(8), 240)
+    found = pii.find_personal_data(make(spark_, rows)).collect()
+    added = {x.doc_id: [(a.kind, a.start, a.end) for a in x.added] for x in found}
+    for kind in pii.KINDS:
+        mine = [i for i, (k, *_) in want.items() if k == kind]
+        assert sum(want[i] in added[i] for i in mine) >= 0.9 * len(mine), (kind, [(rows[i][1], added[i]) for i in mine][:5])
+    right = sum(any(s < b and a < e for _, s, e in added[i]) for i, (_, a, b) in want.items())
+    wrong = [(rows[i][1], added[i]) for i in clean if added[i]]
+    assert right >= 0.95 * (right + len(wrong)), wrong[:10]
+    trees = [f for _, t in pii_features(pii.fit_selector(pii.materialize(pii.scan(make(spark_, rows)), "pii-test"))) for f in t]
+    assert {"luhn", "n_digits"} & set(trees)
+
+
+def pii_features(selector):
+    """Names of the features that each tree splits on."""
+    def used(node):
+        return [] if not isinstance(node, tuple) else [pii.FEATURES[node[0]], *used(node[2]), *used(node[3])]
+    return [(w, used(t)) for w, t in selector.trees]
+
+
 def test_rare_secrets_are_found_among_many_documents(spark_):
     r = random.Random(4)
     token = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
