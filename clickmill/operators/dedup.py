@@ -27,15 +27,19 @@ def dedup(df: DataFrame, keys: Sequence[str] = ("event_id",), prefer: Sequence[s
             .select(*keys, "__row.*").select(*df.columns))
 
 
-def unified_events(cold: DataFrame, hot: DataFrame, keys: Sequence[str] = ("event_id",)) -> DataFrame:
+def unified_events(cold: DataFrame, hot: DataFrame, keys: Sequence[str] = ("event_id",),
+                   live_hours: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """One logical events table over both tiers; an event present in both is returned once.
 
     Copies of an event share its hour, and an archived hour holds none, so only the hours that are hot are compared. The
     rest of the cold tier passes through: it is neither shuffled nor sorted. Hours in the hot tier are few and bounded.
-    Tables without the columns ``date`` and ``hour`` are compared as a whole.
+    Tables without the columns ``date`` and ``hour`` are compared as a whole. ``live_hours`` names the (date, hour) pairs of the
+    hot tier, as ``folders_read`` gives them; without it a job reads them from the rows.
     """
     if not {"date", "hour"} <= set(cold.columns) & set(hot.columns):
         return dedup(cold.unionByName(hot.select(*cold.columns)), keys)
-    hours = [f"{date} {hour}" for date, hour in partition_values(hot, "date", "hour")]
+    if live_hours is None:
+        live_hours = partition_values(hot, "date", "hour")
+    hours = [f"{date} {hour}" for date, hour in live_hours]
     live = F.coalesce(F.concat_ws(" ", "date", "hour").isin(hours), F.lit(False)) if hours else F.lit(False)
     return cold.where(~live).unionByName(dedup(cold.where(live).unionByName(hot.select(*cold.columns)), keys))

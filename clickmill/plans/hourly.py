@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmill import schemas
-from clickmill.operators.dedup import dedup
+from clickmill.operators.dedup import dedup, unified_events
 from clickmill.operators.dimensions import latest_snapshot, require_ready
 from clickmill.operators.enrich import enrich, enrich_as_of
 from clickmill.operators.tiering import merge_archive, to_bronze
@@ -25,7 +25,7 @@ from clickmill.plans.summaries import HOUR, SUMMARIES, read_summary, refresh, re
 from clickmill.session import materialize, remove_paths
 from clickmill.sources import sinks
 from clickmill.sources.catalog import sync_partitions, table_folder
-from clickmill.sources.lake import partition_folders, partition_values, read_hours, read_partition, read_range, read_table
+from clickmill.sources.lake import folders_read, partition_folders, read_hours, read_partition, read_range, read_table
 
 DIMENSION_KEYS = {"users": "user_id", "products": "product_id", "categories": "category_id", "stores": "store_id"}
 DAY = ("date",)
@@ -76,7 +76,7 @@ def archive_hour(spark: SparkSession, lake: Lake, date: str, hour: str) -> int:
     leaf = f"{lake.hot.rstrip('/')}/date={date}/hour={hour}"
     # The files are listed here, once: later steps see the same batches even if more arrive.
     hot = read_partition(spark, lake.hot, HOT_BATCHES, date, hour)
-    batches = [row[0] for row in partition_values(hot, "batch")]
+    batches = [batch for batch, in folders_read(hot, "batch")]
     bronze_root = lake.folder("metadata.events")
     existing = read_partition(spark, bronze_root, schemas.BRONZE_EVENTS, date, hour)
     if not batches:
@@ -88,6 +88,13 @@ def archive_hour(spark: SparkSession, lake: Lake, date: str, hour: str) -> int:
     return rows
 
 
+def all_events(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The events of both tiers as one table, each once; the hot hours are known from the folders that were listed."""
+    cold = read_table(spark, lake.folder("metadata.events"), schemas.BRONZE_EVENTS)
+    hot = read_table(spark, lake.hot, HOT_BATCHES)
+    return unified_events(cold, to_bronze(hot).select(*cold.columns), live_hours=folders_read(hot, *HOUR))
+
+
 def compact_hot(spark: SparkSession, hot_root: str) -> int:
     """Merge the micro-batches of each hour of the hot tier into one batch; returns the hours that were merged.
 

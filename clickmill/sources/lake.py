@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +72,15 @@ def partition_values(df: DataFrame, *keys: str) -> list[tuple]:
     return [tuple(row) for row in df.select(*keys).distinct().orderBy(*keys).collect()]
 
 
+def folders_read(df: DataFrame, *keys: str) -> list[tuple]:
+    """Partition values in order of the files that a table read has listed, by their names: no job, and no later file."""
+    found = set()
+    for name in df.inputFiles():
+        parts = dict(part.split("=", 1) for part in unquote(name).split("/") if "=" in part)
+        found.add(tuple(parts[key] for key in keys))
+    return sorted(found)
+
+
 def list_files(spark: SparkSession, folder: str) -> list[str]:
     """Visible files of a folder, in order."""
     pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/[!._]*")

@@ -69,6 +69,21 @@ def test_late_and_repeated_events_join_their_hour(spark, lake):
     assert bronze_ids(spark, lake) == ["0", "1", "50"]
 
 
+def test_both_tiers_read_as_one_table_without_a_job_to_find_the_hot_hours(spark, lake):
+    assert [r[0] for r in rows_of(hourly.all_events(spark, lake), "event_id")] == ["0", "1", "2", "3", "4"]  # all hot
+    hourly.run_hour(spark, lake, DAY, "10")
+    ingest(spark, lake, [(1, "2024-01-01 10:00:00"), (7, "2024-01-01 10:30:00")], 3, first_id=0)  # archived ids again
+    spark.sparkContext.setJobGroup("both-tiers", "")
+    both = hourly.all_events(spark, lake)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("both-tiers")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert both.columns == schemas.BRONZE_EVENTS.names
+    assert [r[0] for r in rows_of(both, "event_id")] == ["0", "1", "2", "3", "4"]
+    for date, hour in [(DAY, "10"), (DAY, "11"), ("2024-01-02", "10")]:
+        hourly.run_hour(spark, lake, date, hour, marts=[])
+    assert [r[0] for r in rows_of(hourly.all_events(spark, lake), "event_id")] == ["0", "1", "2", "3", "4"]  # all cold
+
+
 def test_a_batch_that_lands_during_the_move_stays_hot(spark, lake, monkeypatch):
     replace = sinks.replace_partition
 
