@@ -2,12 +2,13 @@
 
 An item and a document are sets of five-word shingles, and an item is found where a document holds at least ``threshold``
 of its shingles. A fixed number of minima per document would lose a short item in a long document, so the sketch of a
-document grows with its size: items are partitioned by size, an item's sketch is its ``SKETCH`` least shingle hashes, and
-a document keeps, for a partition, every hash up to the greatest sketch value of its items, a fixed share of the document's
-shingles. These document sketches nest, and one join by hash serves all partitions, so only the widest is formed: the
-partition of the shortest items decides how much of a document is compared. All minima of an item that lies in a document are then in the document's sketch too. An item and a
-document that share a minimum are a candidate pair (at containment 0.8 one in 400,000 pairs shares none), and
-candidates are verified by counting shared shingles as strings.
+document grows with its size: it keeps every hash up to a bound, a fixed share of the document's shingles. Items are
+partitioned by size, and the partition sets the item's sketch. Of ``n`` shingles at most ``n - ceil(threshold * n)`` may be
+missing, so one more least hash than that is certain to meet a document that holds the item; that is the sketch of the
+partitions of short items. Long items stop at ``SKETCH`` minima, of which one in 400,000 pairs at containment 0.8 shares
+none. The bound of a partition is the greatest hash of its sketches. Document sketches for the partitions nest, so one join by
+hash with the widest serves all of them: an item's minima lie below its own partition's bound anyway. An item and a
+document that share a minimum are a candidate pair, and candidates are verified by counting shared shingles as strings.
 
 The item tables are written first, so that Spark knows their size and broadcasts them only below its threshold.
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from clickmill.llm.common import materialize, text_of, words_of
 
 SHINGLE = 5
-#: Least hashes that stand for an item.
+#: Most least hashes that stand for an item.
 SKETCH = 8
 THRESHOLD = 0.8
 
@@ -50,7 +51,14 @@ def _rows(table: DataFrame, key: str, text: str) -> DataFrame:
     return table.where(F.col(key).isNotNull()).select(F.col(key).alias(key), words_of(F.lower(text_of(text))).alias("words"))
 
 
-def item_tables(items: DataFrame, key: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+def sketch_size(n: Column, threshold: float) -> Column:
+    """Least hashes that stand for an item of ``n`` shingles: all that certainty takes, or ``SKETCH``."""
+    missing = n - F.ceil(F.lit(threshold) * n - F.lit(1e-9))
+    return F.least(F.lit(SKETCH), F.greatest(missing + 1, F.lit(1))).cast("int")
+
+
+def item_tables(items: DataFrame, threshold: float = THRESHOLD, key: str = "item_id",
+                text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Item shingles (item_id, shingle, n_shingles), sketches (hash, item_id) and partitions (part, bound)."""
     rows = _rows(items, key, text).withColumnRenamed(key, "item_id")
     single = (rows.select("item_id", F.explode(shingles(F.col("words"))).alias("shingle")).distinct())
@@ -59,14 +67,14 @@ def item_tables(items: DataFrame, key: str = "item_id", text: str = "text") -> t
     hashed = rows.select("item_id", F.explode(F.array_distinct(shingle_hashes(F.col("words")))).alias("hash")).distinct()
     least = hashed.groupBy("item_id").agg(F.array_sort(F.collect_list("hash")).alias("h"))
     sketch = materialize(least.select("item_id", F.floor(F.log2(F.size("h"))).cast("int").alias("part"),
-                                      F.explode(F.slice("h", 1, SKETCH)).alias("hash")), "item-sketches")
+                                      F.explode(F.slice("h", F.lit(1), sketch_size(F.size("h"), threshold))).alias("hash")), "item-sketches")
     return full, sketch.select("hash", "item_id"), sketch.groupBy("part").agg(F.max("hash").alias("bound"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text: str = "text",
                  key: str = "doc_id") -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles, containment) of every item found in a document; ``key`` tells documents apart."""
-    full, sketch, parts = item_tables(items)
+    full, sketch, parts = item_tables(items, threshold)
     # one number per power of two of the item size; the widest share of a document's hashes covers all partitions
     bound = parts.agg(F.max("bound").alias("b")).first()["b"]
     if bound is None:

@@ -396,6 +396,30 @@ def test_contaminated_documents(spark_):
     assert decontaminate.contaminated(make(spark_, rows).limit(0), items).count() == 0
 
 
+def test_contaminated_documents_by_size_of_item(spark_):
+    r = random.Random(12)
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(n))) for i, n in enumerate([3, 5, 6, 9, 14, 15, 24, 43, 44, 60, 200])]
+    rows = []
+    for i, text in items:
+        words = text.split()
+        for cut in range(0, max(1, len(words) // 4)):                                     # shorter and shorter passages
+            around = [f"d{r.randrange(10**6)}" for _ in range(r.choice([0, 50, 3000]))]
+            rows.append((len(rows), " ".join([*around, *words[cut:], *around])))
+    want = {}
+    grams = lambda w: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
+    for d, text in rows:
+        for i, item in items:
+            g = grams(item.split())
+            n = len(g & grams(text.split()))
+            if n >= 0.8 * len(g) - 1e-9:
+                want[d, i] = (n, len(g))
+    table = spark_.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(make(spark_, rows), table).collect()
+    assert {(x.doc_id, x.item_id): (x.n_shared, x.n_shingles) for x in found} == want and len(want) > 40
+    sketches = {x.item_id: x["count"] for x in decontaminate.item_tables(table)[1].groupBy("item_id").count().collect()}
+    assert sketches == {0: 1, 1: 1, 2: 1, 3: 2, 4: 3, 5: 3, 6: 5, 7: 8, 8: 8, 9: 8, 10: 8}
+
+
 def plain_cut(rows):
     first, key = {}, lambda d: -2**63 if d is None else d
     for d, t in rows:
