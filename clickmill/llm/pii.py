@@ -60,7 +60,7 @@ HOST = r"[A-Za-z0-9-]{1,63}+"
 GENERATORS = {
     "address": r"(?<![^\s<>()\[\]{}\",;:])[^\s@<>()\[\]{}\",;:]++@[^\s@<>()\[\]{}\",;:]++",
     "spelled": (r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+"
-                rf"(?:{AT}{HOST}(?:(?:{DOT}|\.){HOST})+|(?:\x20at\x20|@){HOST}(?:{DOT}{HOST})+)"),
+                rf"(?:{AT}{HOST}(?:(?:{DOT}|\.){HOST})++|(?:\x20at\x20|@){HOST}(?:{DOT}{HOST})++)"),
     "digits": r"(?:(?<![A-Za-z0-9])|\G)\+?+\(?+[0-9](?:[\x20().:/-]{0,3}+[0-9]){6,}+",
     "run": r"(?<![A-Za-z0-9])[0-9]{13,19}+(?![A-Za-z0-9])",
     "grouped": r"(?<![A-Za-z0-9])\+?(?:[0-9]{1,3}[\x20.-])?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}(?![A-Za-z0-9])",

@@ -84,7 +84,8 @@ def accepted(kind, s):
 
 def test_personal_data_base_spans(spark_):
     texts = ["", None, "a@b.c@d.e x@y.z_q@r.s", "1.2.3.4.5.6.7.8 300.1.1.1 001.02.3.255", "4111 1111 1111 1111 4111-1111-1111-1111 12  34",
-             "+1 (017) 555-7713 +49.89.1234 +1 2 3", "é😀 a@b.co +12 345 678 90", "9" * 3000, " ".join("12" * 2000), "x" * 50000, "x@y.z " * 200]
+             "+1 (017) 555-7713 +49.89.1234 +1 2 3", "é😀 a@b.co +12 345 678 90", "9" * 3000, " ".join("12" * 2000), "x" * 50000, "x@y.z " * 200,
+             "a at b" + " dot c" * 20000, "a [at] b" + ".c" * 20000, "a [at] " * 10000, "1 . " * 10000, "(1" * 20000, "1[.]2 " * 2000]
     docs = make(spark_, list(enumerate(texts)))
     digest = {r.doc_id: r for r in pii.personal_data_digest(docs).collect()}
     for i, text in enumerate(texts):
