@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickmill.functions.columns import all_set
@@ -48,6 +48,13 @@ def measured_bytes(df: DataFrame) -> int:
     return measure([df])[0].bytes
 
 
+def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """``df`` written once, and its size, which the write itself counts."""
+    seen = Observation()
+    table = materialize(df.observe(seen, F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")), purpose)
+    return table, seen.get["bytes"]
+
+
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if measured_bytes(df) <= limit_bytes else df
 

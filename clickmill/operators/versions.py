@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.operators.lookup import BROADCAST_BYTES, attach, measured_bytes
+from clickmill.operators.lookup import BROADCAST_BYTES, HEAVY_PARTS, stored
+from clickmill.session import materialize
 
 PERIOD = "__period"
 
@@ -46,6 +47,9 @@ def fold_versions(rows: DataFrame, key: str, periods: Sequence[Period]) -> DataF
     A key has at most one row per period. Versions that come back after a change, or after the key was gone, count anew.
     """
     columns = [c for c in rows.columns if c not in (key, PERIOD)]
+    if len(periods) == 1:  # nothing to compare
+        return rows.where(F.col(key).isNotNull()).dropDuplicates([key]).select(
+            key, *columns, F.lit(periods[0].start).alias("valid_from"), F.lit(None).cast("string").alias("valid_to"))
     in_order = Window.partitionBy(key).orderBy(PERIOD)
     content = F.struct(*columns)
     goes_on = content.eqNullSafe(F.lag(content).over(in_order)) & (F.lag(PERIOD).over(in_order) == F.col(PERIOD) - 1)
@@ -65,19 +69,44 @@ def attach_as_of(fact: DataFrame, versions: DataFrame, key: str, day: str = "dat
                  weigh: DataFrame | None = None) -> DataFrame:
     """Left join of the version that holds on the day of each row; days are text that sorts by time.
 
-    Versions that fit are broadcast. Otherwise they are first brought to the pairs of key and day that occur, far fewer than
-    rows for a key with many of them, and those are attached like any lookup. ``weigh`` has the same keys and days.
+    The versions are written once, which also tells their size. If they fit, they are broadcast. Otherwise only those of keys that
+    occur are kept, and if these do not fit either, both sides are shuffled by key, where a key meets its few versions. Keys that own
+    much of the rows get theirs by broadcast (see ``attach``) and, like the rows with a null key, are spread evenly over the shuffle.
+    ``weigh`` has the same keys.
     """
-    extra = [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
-    named = versions.select(F.col(key).alias("__key"), *extra, F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"))
-    held = _holds(F.col(day), F.col("__from"), F.col("__to"))
-    size = measured_bytes(versions)
+    table, size = stored(versions, "versions")
+    if size > broadcast_bytes:
+        counted = (fact if weigh is None else weigh).where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
+            F.count(F.lit(1)).alias("__n"))
+        counted = materialize(counted, "weights")
+        table, size = stored(table.join(counted, F.col(key) == F.col("__key"), "left_semi"), "versions")
+    extra = [c for c in table.columns if c not in (key, "valid_from", "valid_to")]
+    named = table.select(F.col(key).alias("__key"), *extra, F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"))
     if size <= broadcast_bytes:
+        held = _holds(F.col(day), F.col("__from"), F.col("__to"))
         return fact.join(F.broadcast(named), (F.col(key) == F.col("__key")) & held, "left").select(*fact.columns, *extra)
-    keys = fact if weigh is None else weigh
-    pairs = keys.select(key, day).where(F.col(key).isNotNull() & F.col(day).isNotNull()).distinct()
-    lookup = pairs.join(named, (F.col(key) == F.col("__key")) & held).select(key, day, *extra)
-    return attach(fact, lookup, [key, day], broadcast_bytes=broadcast_bytes, weigh=keys.select(key, day))
+    return _attach_shuffled(fact, named, counted, key, day, extra)
+
+
+def _attach_shuffled(fact: DataFrame, named: DataFrame, counted: DataFrame, key: str, day: str, extra: Sequence[str]) -> DataFrame:
+    most = HEAVY_PARTS * int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = F.broadcast(counted.where(F.col("__n") * most > counted.select(F.sum("__n")).scalar()).select(F.col("__key").alias("__heavy")))
+    flagged = fact.join(heavy, F.col(key) == F.col("__heavy"), "left")
+    cold = F.col("__heavy").isNull() & F.col(key).isNotNull()
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns])
+    routed = flagged.select("*", F.when(cold, F.xxhash64(key)).otherwise(spread).alias("__route"), F.when(cold, F.col(key)).alias("__cold"))
+
+    def versions_as(prefix: str, rows: DataFrame) -> tuple[DataFrame, Column]:
+        rows = rows.select(*[F.col(c).alias(f"{prefix}{c}") for c in rows.columns])
+        return rows, _holds(F.col(day), F.col(f"{prefix}__from"), F.col(f"{prefix}__to"))
+
+    target, held = versions_as("__c_", named.withColumn("__route", F.xxhash64("__key")))
+    joined = routed.join(
+        target, (F.col("__route") == F.col("__c___route")) & (F.col("__cold") == F.col("__c___key")) & held, "left")
+    few, held = versions_as("__h_", named.join(heavy, F.col("__key") == F.col("__heavy"), "left_semi"))
+    joined = joined.join(F.broadcast(few), (F.col("__heavy") == F.col("__h___key")) & held, "left")
+    return joined.select(*fact.columns, *[
+        F.when(F.col("__heavy").isNotNull(), F.col(f"__h_{c}")).otherwise(F.col(f"__c_{c}")).alias(c) for c in extra])
 
 
 def require_snapshots(snapshots: Mapping[str, DataFrame], keys: Mapping[str, str], periods: Sequence[Period],

@@ -22,7 +22,7 @@ from clickmill.plans.profile import customer_profile
 from clickmill.plans.rfm import rfm_segments
 from clickmill.plans.session_performance import session_performance
 from clickmill.plans.summaries import HOUR, SUMMARIES, read_summary, refresh, rewrite, sessions_by_day, silver_hours
-from clickmill.session import materialize, remove_paths
+from clickmill.session import materialize, remove_paths, step_tables
 from clickmill.sources import sinks
 from clickmill.sources.catalog import sync_partitions, table_folder
 from clickmill.sources.lake import folders_read, partition_folders, read_hours, read_partition, read_range, read_table
@@ -204,8 +204,9 @@ def build_silver_hours(spark: SparkSession, lake: Lake, hours: Sequence[tuple[st
     periods, tables = snapshot_periods(spark, lake, hours[0][0], hours[-1][0]), dimension_tables(spark, lake)
     require_snapshots(tables, DIMENSION_KEYS, periods, lake.optional)
     bronze = read_hours(spark, lake.folder("metadata.events"), schemas.BRONZE_EVENTS, hours)
-    rows = sinks.overwrite_partitions(enrich_as_of(bronze, tables, periods), lake.folder("silver.wide_table_events"), HOUR,
-                                      sinks.EVENT_SORT)
+    with step_tables(spark):
+        rows = sinks.overwrite_partitions(enrich_as_of(bronze, tables, periods), lake.folder("silver.wide_table_events"), HOUR,
+                                          sinks.EVENT_SORT)
     _require_same_rows(bronze.count(), rows)
     return rows
 
@@ -264,7 +265,8 @@ def backfill(spark: SparkSession, lake: Lake, first: str, last: str,
         tables = dimension_tables(spark, lake)
         require_snapshots(tables, DIMENSION_KEYS, periods, lake.optional)
         bronze = read_range(spark, bronze_root, schemas.BRONZE_EVENTS, first, last)
-        rows["silver"] = sinks.overwrite_partitions(enrich_as_of(bronze, tables, periods), silver_root, HOUR, sinks.EVENT_SORT)
+        with step_tables(spark):
+            rows["silver"] = sinks.overwrite_partitions(enrich_as_of(bronze, tables, periods), silver_root, HOUR, sinks.EVENT_SORT)
         _require_same_rows(bronze.count(), rows["silver"])
     _drop_gone(spark, silver_root, HOUR, first, last, hours)
     silver = read_range(spark, silver_root, schemas.SILVER_EVENTS, first, last)

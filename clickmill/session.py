@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +26,7 @@ RUNTIME_CONF = {
 }
 
 _LOCAL_WORK: dict[str, str] = {}
+_STEP_TABLES: ContextVar[list[str] | None] = ContextVar("step_tables", default=None)
 
 
 def build_session(app_name: str, master: str | None = None, shuffle_partitions: int | None = None,
@@ -71,10 +75,23 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
+    if (made := _STEP_TABLES.get()) is not None:
+        made.append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def step_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes what this thread materialises inside the block when it ends; frames built on it must be written by then."""
+    token = _STEP_TABLES.set(made := [])
+    try:
+        yield
+    finally:
+        _STEP_TABLES.reset(token)
+        remove_paths(spark, made)
+
+
 def _file_system(spark: SparkSession, path: str):
     """The Hadoop path and the file system that owns it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

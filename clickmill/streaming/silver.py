@@ -11,6 +11,7 @@ from clickmill.operators.messages import good_events, parse_messages
 from clickmill.operators.tiering import to_bronze
 from clickmill.operators.versions import require_snapshots
 from clickmill.plans.hourly import DIMENSION_KEYS, Lake, dimension_tables, snapshot_periods
+from clickmill.session import step_tables
 from clickmill.sources.sinks import overwrite_partitions
 
 LIVE_TABLE = "silver.live_events"
@@ -35,7 +36,8 @@ def start_live_silver(messages: DataFrame, lake: Lake, checkpoint: str, id_patte
             require_snapshots(tables, DIMENSION_KEYS, periods, lake.optional)
             query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
             stamp = F.lit(f"{query}-{number}").alias("batch")
-            overwrite_partitions(enrich_as_of(bronze, tables, periods).select("*", stamp), lake.folder(LIVE_TABLE), ("date", "batch"))
+            with step_tables(spark):
+                overwrite_partitions(enrich_as_of(bronze, tables, periods).select("*", stamp), lake.folder(LIVE_TABLE), ("date", "batch"))
         finally:
             bronze.unpersist()
 

@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from clickmill.operators import lookup, versions
 from clickmill.operators.versions import attach_as_of, by_period, cut_periods, fold_versions, require_snapshots
+from clickmill.session import materialize, path_exists, step_tables
 from frames import rows_of
 
 DAYS = [f"2024-01-{d:02d}" for d in range(1, 29)]
@@ -70,3 +72,51 @@ def test_the_large_side_needs_one_exchange_per_join(spark):
     fact = spark.range(100).select("id", F.lit("2024-01-03").alias("date"))
     plan = attach_as_of(fact, fold_versions(by_period(table, "t", periods), "id", periods), "id")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def written(monkeypatch):
+    """Purposes and paths of the tables that are materialised from here on."""
+    made, real = [], versions.materialize
+    for module in (versions, lookup):
+        monkeypatch.setattr(module, "materialize", lambda df, purpose: made.append((purpose, real(df, purpose))) or made[-1][1])
+    return made
+
+
+@pytest.mark.parametrize("dates", [["2024-01-01"], ["2024-01-01", "2024-01-09"]])
+def test_large_versions_are_folded_once(spark, dates, monkeypatch):
+    """The rest of the job reads stored versions; it neither folds them again nor lists pairs of keys and days."""
+    _, table = snapshots_at_random(spark, dates)
+    periods = cut_periods({"t": dates}, DAYS[0], DAYS[-1])
+    fact = spark.range(400).select((F.col("id") % 9).alias("id"), F.lit("2024-01-11").alias("date"))
+    made = written(monkeypatch)
+    folded = fold_versions(by_period(table, "t", periods), "id", periods)
+    plan = attach_as_of(fact, folded, "id", broadcast_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert [purpose for purpose, _ in made] == ["versions", "weights", "versions"]
+    assert "Window" not in plan
+
+
+def test_large_versions_of_which_few_occur_are_broadcast(spark):
+    table = spark.range(20_000).select("id", F.lit("x").alias("name"), F.lit("2024-01-01").alias("date"))
+    periods = cut_periods({"t": ["2024-01-01"]}, DAYS[0], DAYS[-1])
+    fact = spark.range(1_000).select((F.col("id") % 20).alias("id"), F.lit("2024-01-03").alias("date"))
+    got = attach_as_of(fact, fold_versions(by_period(table, "t", periods), "id", periods), "id", broadcast_bytes=100_000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert rows_of(got.groupBy("name").count()) == [("x", 1_000)]
+
+
+def test_one_period_gives_every_key_one_version(spark):
+    rows = spark.createDataFrame([(1, "a", 0), (2, None, 0), (None, "x", 0), (1, "a", 0)], "id bigint, name string, __period int")
+    periods = cut_periods({"t": ["2024-01-01"]}, "2024-01-05", "2024-01-31")
+    assert rows_of(fold_versions(rows, "id", periods), "id", "name", "valid_from", "valid_to") == [
+        (1, "a", "2024-01-05", None), (2, None, "2024-01-05", None)]
+
+
+def test_tables_of_a_step_go_with_it(spark):
+    with step_tables(spark):
+        inside = materialize(spark.range(3), "step")
+        [folder] = {name.rsplit("/", 1)[0] for name in inside.inputFiles()}
+        assert path_exists(spark, folder) and inside.count() == 3
+    assert not path_exists(spark, folder)
+    after = materialize(spark.range(3), "step")
+    assert after.count() == 3
