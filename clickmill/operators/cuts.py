@@ -134,8 +134,14 @@ def _sorted_cuts(rows: DataFrame, keys: Mapping[str, Column], by: Sequence[str],
         return F.sort_array(F.collect_list(F.when(inside, key))).alias(f"__near_{i}")
 
     def found(i: int, name: str) -> Column:
-        return F.transform(f"__spans_{i}", lambda s: F.get(
-            F.filter(f"__near_{i}", lambda key: _between(key, s["low"], s["high"])), (s["rank"] - 1).cast("int"))).alias(name)
+        # Cuts that share one interval, as in every group of at most ``most_rows`` rows, need no search for its keys. As the keys
+        # are named twice, Spark sorts them once per group and not anew inside the function for each cut.
+        spans, near = F.col(f"__spans_{i}"), F.col(f"__near_{i}")
+        shared = F.size(F.array_distinct(F.transform(spans, lambda s: F.struct(s["low"], s["high"])))) == 1
+        place = lambda keys, s: F.get(keys, (s["rank"] - 1).cast("int"))
+        inside = lambda s: F.filter(near, lambda key: _between(key, s["low"], s["high"]))
+        return F.when(shared, F.transform(spans, lambda s: place(near, s))).otherwise(
+            F.transform(spans, lambda s: place(inside(s), s))).alias(name)
 
     grouped = rows.join(state.small(spans), same).groupBy(*by).agg(
         *[near(i, key) for i, key in enumerate(keys.values())], *[F.first(f"__spans_{i}").alias(f"__spans_{i}") for i in range(len(keys))])

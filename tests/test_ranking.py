@@ -90,3 +90,13 @@ def test_merged_neighbouring_ranges_keep_the_order(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_keys_of_a_group_are_sorted_once_and_not_for_each_cut(spark):
+    df = spark.range(500).select("id", (F.col("id") % 2).alias("g"), (F.col("id") % 9).cast("double").alias("v"))
+    key = F.struct(F.col("v"), F.col("id").alias("t"))
+    cuts = cut_keys(df, 5, {"tile": key}, by=["g"])
+    assert "filter(sort_array" not in cuts._jdf.queryExecution().optimizedPlan().toString()
+    for row in cuts.collect():
+        ordered = sorted((i % 9, i) for i in range(500) if i % 2 == row["g"])
+        assert [(k["v"], k["t"]) for k in row["tile"]] == [ordered[50 * i - 1] for i in range(1, 5)]
