@@ -69,17 +69,14 @@ def attach_as_of(fact: DataFrame, versions: DataFrame, key: str, day: str = "dat
                  weigh: DataFrame | None = None) -> DataFrame:
     """Left join of the version that holds on the day of each row; days are text that sorts by time.
 
-    The versions are written once, which also tells their size. If they fit, they are broadcast. Otherwise only those of keys that
-    occur are kept, and if these do not fit either, both sides are shuffled by key, where a key meets its few versions. Keys that own
+    The versions of the keys that occur are written once, which also tells their size; Spark drops the other keys before it folds.
+    If they fit, they are broadcast. Otherwise both sides are shuffled by key, where a key meets its few versions. Keys that own
     much of the rows get theirs by broadcast (see ``attach``) and, like the rows with a null key, are spread evenly over the shuffle.
     ``weigh`` has the same keys.
     """
-    table, size = stored(versions, "versions")
-    if size > broadcast_bytes:
-        counted = (fact if weigh is None else weigh).where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
-            F.count(F.lit(1)).alias("__n"))
-        counted = materialize(counted, "weights")
-        table, size = stored(table.join(counted, F.col(key) == F.col("__key"), "left_semi"), "versions")
+    counted = materialize((fact if weigh is None else weigh).where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
+        F.count(F.lit(1)).alias("__n")), "weights")
+    table, size = stored(versions.join(counted, F.col(key) == F.col("__key"), "left_semi"), "versions")
     extra = [c for c in table.columns if c not in (key, "valid_from", "valid_to")]
     named = table.select(F.col(key).alias("__key"), *extra, F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"))
     if size <= broadcast_bytes:
